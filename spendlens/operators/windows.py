@@ -83,12 +83,11 @@ class Windows:
 
     def array(self) -> Column:
         """The windows as an array literal of ``struct<lower, upper>``."""
-        return F.array(
-            *[
-                F.struct(ntz_literal(lower).alias("lower"), ntz_literal(upper).alias("upper"))
-                for lower, upper in self.bounds
-            ]
+        structs = ", ".join(
+            f"named_struct('lower', TIMESTAMP_NTZ'{lower}', 'upper', TIMESTAMP_NTZ'{upper}')"
+            for lower, upper in self.bounds
         )
+        return F.expr(f"array({structs})")
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.range(1).select(F.inline(self.array()))

@@ -26,14 +26,18 @@ def slice_sessions(sessions: DataFrame, tenants: Tenants, windows: Windows) -> D
 def payers(purchases: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
     """One row per user with a purchase in the window, on any platform: how many purchases,
     the time of the first and the last, and whether one was on a configured platform with a
-    configured payment system (``qualified``)."""
+    configured payment system (``qualified``).
+
+    Several measures use this table, each other columns of it. The filter, which is always
+    true, names every column, so that the aggregate is not pruned differently for each use and
+    Spark reuses its exchange."""
     sliced = slice_purchases(purchases, tenants, windows).filter(F.col("user_id").isNotNull())
     return sliced.groupBy(*USER_KEY).agg(
         F.count("*").alias("purchases"),
         F.min("time").alias("first_time"),
         F.max("time").alias("last_time"),
         F.bool_or(F.col("on_platform") & F.col("on_system")).alias("qualified"),
-    )
+    ).filter("first_time IS NOT NULL AND last_time IS NOT NULL AND qualified IS NOT NULL")
 
 
 def paying_user_purchases(purchases: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:

@@ -20,6 +20,7 @@ from spendlens.schema import KEY, TENANT, USER_KEY
 from spendlens.sources.normalize import profile_purchases, profile_sessions
 
 USER = TENANT + ["user_id"]
+NOWHERE = ["CAST(NULL AS STRING) AS platform", "CAST(NULL AS INT) AS payment_system"]
 
 
 @dataclass(frozen=True)
@@ -65,32 +66,20 @@ def sessions_before_first(history: History, users: DataFrame, tenants: Tenants)
     series: the total (platform and payment_system null; any session up to the first purchase
     of all), and each pair bought with (sessions on the platform up to the first such
     purchase). Users without any such session have a row with 0."""
-    no_platform = F.lit(None).cast("string").alias("platform")
-    no_system = F.lit(None).cast("int").alias("payment_system")
     owner = F.struct(*USER).alias("owner")
-
-    wanted = first_purchases(history.purchases, tenants).join(
-        users.select(*USER).distinct(), USER, "left_semi"
-    )
-    series = F.concat(
-        F.array(F.struct(no_platform, no_system)),
-        F.transform(
-            "firsts",
-            lambda f: F.struct(f["platform"].alias("platform"), f["payment_system"].alias("payment_system")),
-        ),
+    # Naming first_any in a filter keeps it in both uses below, which then share one exchange.
+    wanted = (
+        first_purchases(history.purchases, tenants)
+        .join(users.select(*USER).distinct(), USER, "left_semi")
+        .filter(F.col("first_any").isNotNull())
     )
-    present = wanted.select(owner, F.explode(series).alias("series"), F.lit(0).alias("n"))
-
-    met = F.concat(
-        F.filter(F.array(F.struct(no_platform, no_system)), lambda _: F.col("time") <= F.col("first_any")),
-        F.transform(
-            F.filter(
-                "firsts",
-                lambda f: (f["platform"] == F.col("platform")) & (F.col("time") <= f["time"]),
-            ),
-            lambda f: F.struct(f["platform"].alias("platform"), f["payment_system"].alias("payment_system")),
-        ),
+    total = "array(named_struct('platform', CAST(NULL AS STRING), 'payment_system', CAST(NULL AS INT)))"
+    pair = "f -> named_struct('platform', f.platform, 'payment_system', f.payment_system)"
+    present = wanted.select(
+        owner, F.explode(F.expr(f"concat({total}, transform(firsts, {pair}))")).alias("series"), F.lit(0).alias("n")
     )
+    reached = "filter(firsts, f -> f.platform = platform AND time <= f.time)"
+    met = F.expr(f"concat(IF(time <= first_any, {total}, array()), transform({reached}, {pair}))")
     # Counting by the packed owner instead of the join keys calls for an exchange after
     # partial aggregation, so a split join partition costs no further shuffle.
     sessions = history.sessions.select(*USER, "time", "platform").filter(F.col("user_id").isNotNull())
@@ -114,14 +103,11 @@ def first_purchase_measures(
         .groupBy(*KEY, "platform", "payment_system")
         .agg(F.sum("sessions").alias("first_sessions"), F.count("*").alias("first_users"))
     )
-    on_platform = by_series.filter(F.col("platform").isNotNull()).select(
-        *KEY,
-        "platform",
-        F.lit(None).cast("int").alias("payment_system"),
-        "first_sessions",
-        F.lit(0).cast("bigint").alias("first_users"),
-    )
-    return by_series.unionByName(on_platform)
+    # The sessions of a pair also add to its platform, whose users are those of the total.
+    own = "named_struct('platform', platform, 'payment_system', payment_system, 's', first_sessions, 'u', first_users)"
+    platform = "named_struct('platform', platform, 'payment_system', CAST(NULL AS INT), 's', first_sessions, 'u', 0L)"
+    cells = f"IF(platform IS NULL, array({own}), array({own}, {platform}))"
+    return by_series.selectExpr(*KEY, f"inline({cells}) AS (platform, payment_system, first_sessions, first_users)")
 
 
 def between_purchases(
@@ -156,9 +142,15 @@ def between_purchase_measures(
     if history.profiles is not None:
         totals = totals.join(matched, USER_KEY, "left_semi")
     sums = totals.groupBy(*KEY, "platform", "payment_system").agg(F.sum("adjusted").alias("between_sessions"))
-    nowhere = [F.lit(None).cast("string").alias("platform"), F.lit(None).cast("int").alias("payment_system")]
-    users = matched.groupBy(*KEY).agg(F.count("*").alias("between_users"))
-    repeats = active.groupBy(*KEY).agg(F.count_if(F.col("purchases") > 1).alias("repeat_payers"))
-    return sums.unionByName(users.select(*KEY, *nowhere, "between_users"), allowMissingColumns=True).unionByName(
-        repeats.select(*KEY, *nowhere, "repeat_payers"), allowMissingColumns=True
-    )
+    repeats = F.count_if(F.col("purchases") > 1).alias("repeat_payers")
+    users = F.count("*").alias("between_users")
+    if history.profiles is None:
+        counted = matched.groupBy(*KEY).agg(users, repeats)
+    else:
+        counted = (
+            matched.groupBy(*KEY)
+            .agg(users)
+            .unionByName(active.groupBy(*KEY).agg(repeats), allowMissingColumns=True)
+        )
+    kept = [c for c in counted.columns if c not in KEY]
+    return sums.unionByName(counted.selectExpr(*KEY, *NOWHERE, *kept), allowMissingColumns=True)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.plans.core import payers, slice_purchases, slice_sessions
-from spendlens.plans.journey import History, between_purchase_measures, first_purchase_measures
+from spendlens.plans.journey import NOWHERE, History, between_purchase_measures, first_purchase_measures
 from spendlens.schema import GRAIN_KEY, KEY
 
 MEASURES = [
@@ -36,11 +36,11 @@ MEASURES = [
 ]
 
 
-def _cell(platform, payment_system, **values):
-    return F.struct(
-        platform.cast("string").alias("platform"),
-        payment_system.cast("int").alias("payment_system"),
-        *[value.alias(name) for name, value in values.items()],
+def _cell(platform: str, payment_system: str, **values: str) -> str:
+    named = ", ".join(f"'{name}', {value}" for name, value in values.items())
+    return (
+        f"named_struct('platform', CAST({platform} AS STRING),"
+        f" 'payment_system', CAST({payment_system} AS INT), {named})"
     )
 
 
@@ -51,26 +51,21 @@ def purchase_measures(purchases: DataFrame, tenants: Tenants, windows: Windows)
     by_system = (
         slice_purchases(purchases, tenants, windows)
         .groupBy(*GRAIN_KEY, "on_platform", "on_system")
-        .agg(F.sum("price").alias("amount"), F.count("*").alias("n"))
+        .agg(F.coalesce(F.sum("price"), F.lit(0.0)).alias("amount"), F.count("*").alias("n"))
     )
-    nothing = F.lit(None)
-    platform, system = F.col("platform"), F.col("payment_system")
-    amount, n = F.coalesce("amount", F.lit(0.0)), F.col("n")
-    known = F.when(F.col("on_system"), n).otherwise(F.lit(0))
-    cells = F.when(
-        F.col("on_platform"),
-        F.array(
-            _cell(nothing, nothing, revenue=amount, any_purchases=n, purchases=n),
-            _cell(platform, nothing, revenue=amount, any_purchases=n, purchases=known),
-            # a purchase without payment system has no cell of its own
-            F.when(
-                system.isNotNull(), _cell(platform, system, revenue=amount, any_purchases=n, purchases=known)
-            ),
-        ),
-    ).otherwise(
-        F.array(_cell(nothing, nothing, revenue=F.lit(0.0), any_purchases=F.lit(0).cast("bigint"), purchases=n))
+    found = {"revenue": "IF(on_platform, amount, 0D)", "any_purchases": "IF(on_platform, n, 0L)"}
+    known = {**found, "purchases": "IF(on_system, n, 0L)"}
+    total = _cell("NULL", "NULL", **found, purchases="n")
+    platform = _cell("platform", "NULL", **known)
+    system = _cell("platform", "payment_system", **known)
+    # A purchase off the configured platforms counts in the total only, and one without payment
+    # system has no cell of its own.
+    cells = (
+        f"CASE WHEN NOT on_platform THEN array({total})"
+        f" WHEN payment_system IS NULL THEN array({total}, {platform})"
+        f" ELSE array({total}, {platform}, {system}) END"
     )
-    return by_system.select(*KEY, F.explode(F.array_compact(cells)).alias("cell")).select(*KEY, "cell.*")
+    return by_system.selectExpr(*KEY, f"inline({cells})")
 
 
 def session_measures(sessions: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
@@ -86,18 +81,14 @@ def session_measures(sessions: DataFrame, tenants: Tenants, windows: Windows) ->
             F.count("user_id").alias("session_rows"),
         )
     )
-    values = {c: F.col(c) for c in ("active_users", "sessions", "session_rows")}
-    cells = F.array(_cell(F.lit(None), F.lit(None), **values), _cell(F.col("platform"), F.lit(None), **values))
-    return by_platform.select(*KEY, F.explode(cells).alias("cell")).select(*KEY, "cell.*")
+    values = {c: c for c in ("active_users", "sessions", "session_rows")}
+    cells = f"array({_cell('NULL', 'NULL', **values)}, {_cell('platform', 'NULL', **values)})"
+    return by_platform.selectExpr(*KEY, f"inline({cells})")
 
 
 def payer_measures(paying: DataFrame) -> DataFrame:
-    return paying.groupBy(*KEY).agg(F.count("*").alias("paying_users")).select(
-        *KEY,
-        F.lit(None).cast("string").alias("platform"),
-        F.lit(None).cast("int").alias("payment_system"),
-        "paying_users",
-    )
+    counted = paying.groupBy(*KEY).agg(F.count("*").alias("paying_users"))
+    return counted.selectExpr(*KEY, *NOWHERE, "paying_users")
 
 
 def measure_cells(
@@ -111,7 +102,7 @@ def measure_cells(
 ) -> DataFrame:
     """All cells with the measures of the named ``sources``; measures not asked for are 0.
     ``paying`` is a stored result of ``payers``, where there is one."""
-    if paying is None:
+    if paying is None and not sources.isdisjoint({"payers", "first", "between"}):
         paying = payers(purchases, tenants, windows)
     history = History.of(purchases, sessions, profiles)
     plans = {

@@ -9,10 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from spendlens.functions.arithmetic import safe_ratio
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.plans.measures import measure_cells
@@ -30,104 +28,80 @@ FROM_PLATFORM = ["any_purchases", "active_users", "sessions", "session_rows"]
 FROM_TOTAL = ["paying_users", "first_users", "between_users", "repeat_payers"]
 
 
-def _by_grain(total: Column, platform: Column, system: Column) -> Column:
-    grain = F.col("grain")
-    return F.when(grain == TOTAL, total).when(grain == PLATFORM, platform).otherwise(system)
+def _by_grain(total: str, platform: str, system: str) -> str:
+    return f"CASE grain WHEN '{TOTAL}' THEN {total} WHEN '{PLATFORM}' THEN {platform} ELSE {system} END"
 
 
-def _at_platform(measure: str) -> Column:
+def _at_platform(measure: str) -> str:
     """In the total cell its own measure, elsewhere that of the platform."""
-    own = F.col(measure)
-    return _by_grain(own, own, F.col(f"p_{measure}"))
+    return _by_grain(measure, measure, f"p_{measure}")
+
+
+def _ratio(numerator: str, denominator: str) -> str:
+    """0 where the denominator is not positive."""
+    return f"CASE WHEN {denominator} > 0 THEN {numerator} / {denominator} ELSE 0D END"
 
 
 @dataclass(frozen=True)
 class Metric:
-    """``numerator`` and ``denominator`` make the value, unless ``value`` says otherwise. A
-    metric without denominator is its numerator."""
+    """SQL expressions over the columns of a cell, all doubles. ``numerator`` and ``denominator``
+    make the value, unless ``value`` says otherwise; a metric without denominator is its
+    numerator. ``shown`` selects the cells that report the metric."""
 
     sources: frozenset[str]
-    numerator: Column
-    denominator: Column | None = None
-    value: Column | None = None
-    shown: Column | None = None
+    numerator: str
+    denominator: str | None = None
+    value: str | None = None
+    shown: str = "configured > 0"
 
-    def entry(self, name: str) -> Column:
+    def entry(self, name: str) -> str:
         value = self.value
         if value is None:
-            value = self.numerator if self.denominator is None else safe_ratio(self.numerator, self.denominator)
-        absent = F.lit(None).cast("double")
-        return F.struct(
-            F.lit(name).alias("metric"),
-            (F.lit(True) if self.shown is None else self.shown).alias("shown"),
-            value.cast("double").alias("value"),
-            self.numerator.cast("double").alias("numerator"),
-            (absent if self.denominator is None else self.denominator.cast("double")).alias("denominator"),
+            value = self.numerator if self.denominator is None else _ratio(self.numerator, self.denominator)
+        return (
+            f"named_struct('metric', '{name}', 'shown', {self.shown}, 'value', {value},"
+            f" 'numerator', {self.numerator},"
+            f" 'denominator', {self.denominator or 'CAST(NULL AS DOUBLE)'})"
         )
 
 
-def _metrics() -> dict[str, Metric]:
-    grain, configured = F.col("grain"), F.col("configured") > 0
-    upper_grains = grain.isin(TOTAL, PLATFORM)
-    revenue, purchases = F.col("revenue"), F.col("purchases")
-    arpu = safe_ratio(revenue, _at_platform("active_users"))
-    margin = _by_grain(F.lit(PROFIT_MARGIN), F.lit(PROFIT_MARGIN), F.lit(PAYMENT_MARGIN))
-    # Revenue is shown for every payment system found, configured or not; a platform without
-    # any purchase shows its configured ones with zero.
-    revenue_cell = upper_grains | (F.col("any_purchases") > 0) | (configured & (F.col("p_any_purchases") == 0))
-    return {
-        "total_revenue": Metric(frozenset({"purchases"}), revenue, shown=revenue_cell),
-        "active_users": Metric(frozenset({"sessions"}), F.col("active_users"), shown=upper_grains),
-        "number_sessions": Metric(frozenset({"sessions"}), F.col("sessions"), shown=upper_grains),
-        "sessions_per_user": Metric(frozenset({"sessions"}), F.col("session_rows"), shown=upper_grains),
-        "paying_users": Metric(frozenset({"payers"}), F.col("paying_users"), shown=grain == TOTAL),
-        "arpu": Metric(
-            frozenset({"purchases", "sessions"}), revenue, _at_platform("active_users"), shown=configured
-        ),
-        "avg_revenue_session": Metric(
-            frozenset({"purchases", "sessions"}), revenue, _at_platform("sessions"), shown=configured
-        ),
-        "lifetime_value": Metric(
-            frozenset({"purchases", "sessions"}),
-            arpu,
-            value=arpu * _at_platform("session_rows") * margin,
-            shown=configured,
-        ),
-        "avg_purchases_user": Metric(
-            frozenset({"purchases", "payers"}), purchases, F.col("t_paying_users"), shown=configured
-        ),
-        "purchases_per_session": Metric(
-            frozenset({"purchases", "sessions"}), purchases, _at_platform("sessions"), shown=configured
-        ),
-        "sessions_first_purchase": Metric(
-            frozenset({"first"}),
-            F.col("first_sessions"),
-            _by_grain(F.col("first_users"), F.col("t_first_users"), F.col("first_users")),
-            shown=configured,
-        ),
-        "sessions_between_purchases": Metric(
-            frozenset({"between"}),
-            F.col("between_sessions"),
-            _by_grain(F.col("between_users"), F.col("t_repeat_payers"), F.col("t_repeat_payers")),
-            shown=configured,
-        ),
-    }
-
-
-METRIC_NAMES = (
-    "total_revenue",
-    "active_users",
-    "number_sessions",
-    "sessions_per_user",
-    "paying_users",
-    "arpu",
-    "avg_revenue_session",
-    "lifetime_value",
-    "avg_purchases_user",
-    "purchases_per_session",
-    "sessions_first_purchase",
-    "sessions_between_purchases",
-)
+def _sources(*names: str) -> frozenset[str]:
+    return frozenset(names)
+
+
+UPPER_GRAINS = f"grain IN ('{TOTAL}', '{PLATFORM}')"
+
+# Revenue is shown for every payment system found, configured or not; a platform without any
+# purchase shows its configured ones with zero.
+REVENUE_CELLS = f"{UPPER_GRAINS} OR any_purchases > 0 OR (configured > 0 AND p_any_purchases = 0)"
+
+ARPU = _ratio("revenue", _at_platform("active_users"))
+MARGIN = _by_grain(f"{PROFIT_MARGIN}D", f"{PROFIT_MARGIN}D", f"{PAYMENT_MARGIN}D")
+
+METRICS = {
+    "total_revenue": Metric(_sources("purchases"), "revenue", shown=REVENUE_CELLS),
+    "active_users": Metric(_sources("sessions"), "active_users", shown=UPPER_GRAINS),
+    "number_sessions": Metric(_sources("sessions"), "sessions", shown=UPPER_GRAINS),
+    "sessions_per_user": Metric(_sources("sessions"), "session_rows", shown=UPPER_GRAINS),
+    "paying_users": Metric(_sources("payers"), "paying_users", shown=f"grain = '{TOTAL}'"),
+    "arpu": Metric(_sources("purchases", "sessions"), "revenue", _at_platform("active_users")),
+    "avg_revenue_session": Metric(_sources("purchases", "sessions"), "revenue", _at_platform("sessions")),
+    "lifetime_value": Metric(
+        _sources("purchases", "sessions"), ARPU, value=f"{ARPU} * {_at_platform('session_rows')} * {MARGIN}"
+    ),
+    "avg_purchases_user": Metric(_sources("purchases", "payers"), "purchases", "t_paying_users"),
+    "purchases_per_session": Metric(_sources("purchases", "sessions"), "purchases", _at_platform("sessions")),
+    "sessions_first_purchase": Metric(
+        _sources("first"), "first_sessions", _by_grain("first_users", "t_first_users", "first_users")
+    ),
+    "sessions_between_purchases": Metric(
+        _sources("between"),
+        "between_sessions",
+        _by_grain("between_users", "t_repeat_payers", "t_repeat_payers"),
+    ),
+}
+
+METRIC_NAMES = tuple(METRICS)
 
 
 def metric_values(
@@ -142,32 +116,32 @@ def metric_values(
     """The named metrics for every tenant and window, in one plan. Only the tables and columns
     that these metrics need are read, each once per group of measures."""
     wanted = list(dict.fromkeys(metrics))
-    unknown = set(wanted) - set(METRIC_NAMES)
+    unknown = set(wanted) - set(METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
-    table = _metrics()
-    sources = {source for name in wanted for source in table[name].sources}
+    sources = {source for name in wanted for source in METRICS[name].sources}
     cells = measure_cells(purchases, sessions, tenants, windows, sources, profiles, paying)
-    return from_cells(cells, [(name, table[name]) for name in wanted])
-
-
-def from_cells(cells: DataFrame, metrics: list[tuple[str, Metric]]) -> DataFrame:
-    platform_only = F.col("payment_system").isNull()
+    return from_cells(cells, wanted)
+
+
+def from_cells(cells: DataFrame, metrics: Iterable[str] = METRIC_NAMES) -> DataFrame:
+    window, platform = ", ".join(KEY), ", ".join([*KEY, "platform"])
+    above = [
+        *[f"max(IF(platform IS NULL, {m}, NULL)) OVER (PARTITION BY {window}) AS t_{m}" for m in FROM_TOTAL],
+        *[
+            f"max(IF(payment_system IS NULL, {m}, NULL)) OVER (PARTITION BY {platform}) AS p_{m}"
+            for m in FROM_PLATFORM
+        ],
+    ]
     grain = (
-        F.when(F.col("platform").isNull(), TOTAL).when(platform_only, PLATFORM).otherwise(SYSTEM).alias("grain")
+        f"CASE WHEN platform IS NULL THEN '{TOTAL}' WHEN payment_system IS NULL THEN '{PLATFORM}'"
+        f" ELSE '{SYSTEM}' END AS grain"
     )
-    in_window, in_platform = Window.partitionBy(*KEY), Window.partitionBy(*KEY, "platform")
-    above = {
-        **{f"t_{m}": F.max(F.when(F.col("platform").isNull(), F.col(m))).over(in_window) for m in FROM_TOTAL},
-        **{f"p_{m}": F.max(F.when(platform_only, F.col(m))).over(in_platform) for m in FROM_PLATFORM},
-    }
-    entries = F.array(*[metric.entry(name) for name, metric in metrics])
+    entries = ", ".join(METRICS[name].entry(name) for name in metrics)
     return (
-        cells.withColumns(above)
-        .withColumn("grain", grain)
-        .select(*GRAIN_KEY, "grain", F.explode(entries).alias("entry"))
-        .filter("entry.shown")
-        .select(*GRAIN_KEY, "grain", "entry.*")
+        cells.selectExpr("*", grain, *above)
+        .selectExpr(*GRAIN_KEY, "grain", f"inline(array({entries}))")
+        .filter("shown")
         .select(*METRIC_VALUES.fieldNames())
     )
 
