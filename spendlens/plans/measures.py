@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.operators.tenants import Tenants
@@ -19,6 +19,9 @@ from spendlens.plans.core import payers, slice_purchases, slice_sessions
 from spendlens.plans.journey import NOWHERE, History, between_purchase_measures, first_purchase_measures
 from spendlens.schema import GRAIN_KEY, KEY
 
+# Revenue is reported to a millionth of the currency unit.
+MONEY_DIGITS = 6
+
 MEASURES = [
     "configured",
     "revenue",
@@ -116,9 +119,12 @@ def measure_cells(
     parts = [grid] + [plan() for name, plan in plans.items() if name in sources]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     present = set(rows.columns)
+
+    def summed(measure: str) -> Column:
+        total = F.coalesce(F.sum(measure), F.lit(0)).cast("double")
+        # The last digits of a sum of doubles depend on the order of the partitions.
+        return F.round(total, MONEY_DIGITS) if measure == "revenue" else total
+
     return rows.groupBy(*GRAIN_KEY).agg(
-        *[
-            (F.coalesce(F.sum(m), F.lit(0)) if m in present else F.lit(0)).cast("double").alias(m)
-            for m in MEASURES
-        ]
+        *[(summed(m) if m in present else F.lit(0.0)).alias(m) for m in MEASURES]
     )
