@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.operators.ordered import SLAB, with_slab
@@ -12,8 +12,8 @@ from spendlens.operators.ordered import SLAB, with_slab
 PURCHASE_SESSIONS = 2
 
 
-def adjusted(sessions: Column) -> Column:
-    return F.when(sessions > PURCHASE_SESSIONS, sessions - PURCHASE_SESSIONS).otherwise(sessions)
+def adjusted(sessions: str) -> str:
+    return f"IF({sessions} > {PURCHASE_SESSIONS}, {sessions} - {PURCHASE_SESSIONS}, {sessions})"
 
 
 def interval_totals(
@@ -34,95 +34,76 @@ def interval_totals(
     ``inc(t_{i+1}) - exc(t_i)`` sessions. Counts run inside a slab of time; pairs that span
     slabs are completed from one summary row per slab.
     """
-    marked = purchases.select(
-        *keys, "time", "platform", "payment_system", "on_platform", "on_system", F.lit(0).alias("session")
-    ).unionByName(
-        sessions.select(
-            *keys,
-            "time",
-            "platform",
-            F.lit(None).cast("int").alias("payment_system"),
-            "on_platform",
-            F.lit(False).alias("on_system"),
-            F.lit(1).alias("session"),
-        )
+    columns = [*keys, "time", "platform"]
+    bought = purchases.selectExpr(*columns, "on_platform", "payment_system", "on_system", "0 AS session")
+    visited = sessions.selectExpr(
+        *columns, "on_platform", "CAST(NULL AS INT) AS payment_system", "false AS on_system", "1 AS session"
     )
     # The explicit exchange keeps the slab in the partitioning even where the inputs arrive
     # already partitioned by user; everything down to the slab summary then stays local.
-    local = with_slab(marked, "time", slab).repartition(*keys, "slab")
+    local = with_slab(bought.unionByName(visited), "time", slab).repartition(*keys, "slab")
     return _chain(_summarise(local, keys), keys)
 
 
 def _summarise(events: DataFrame, keys: list[str]) -> DataFrame:
     """One row per user, slab and series with the counts inside the slab."""
-    nothing = F.lit(None).cast("string")
-    scoped = events.withColumn(
-        "scope",
-        F.explode(
-            F.when(F.col("on_platform"), F.array(nothing, F.col("platform"))).otherwise(F.array(nothing))
-        ),
+    # The sort compares the first column by its prefix alone, so the most selective comes first.
+    scope = ", ".join(["slab", *reversed(keys), "scope"])
+    scoped = events.selectExpr(
+        *keys,
+        "slab",
+        "explode(IF(on_platform, array(NULL, platform), array(CAST(NULL AS STRING)))) AS scope",
+        "time",
+        "payment_system",
+        "on_system",
+        "session",
     )
-    scope = [*keys, "slab", "scope"]
-    session = F.col("session")
-    counted = (
-        scoped.withColumn(
-            "inc",
-            F.sum(session).over(
-                Window.partitionBy(*scope)
-                .orderBy("time")
-                .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
-        .withColumn("exc", F.col("inc") - F.sum(session).over(Window.partitionBy(*scope, "time")))
-        .withColumn("in_slab", F.sum(session).over(Window.partitionBy(*scope)))
+    # One ordering, three frames: up to, strictly before, and the whole slab.
+    over = f"OVER (PARTITION BY {scope} ORDER BY time RANGE BETWEEN UNBOUNDED PRECEDING AND"
+    counted = scoped.selectExpr(
+        "*",
+        f"sum(session) {over} CURRENT ROW) AS inc",
+        f"coalesce(sum(session) {over} INTERVAL '0.000001' SECOND PRECEDING), 0L) AS exc",
+        f"sum(session) {over} UNBOUNDED FOLLOWING) AS in_slab",
     )
-    no_system = F.lit(None).cast("int")
-    purchase = session == 0
-    by_system = purchase & F.col("scope").isNotNull() & F.col("on_system")
-    series = counted.withColumn(
-        "system",
-        F.explode(
-            F.when(by_system, F.array(no_system, F.col("payment_system"))).otherwise(F.array(no_system))
-        ),
+    series = counted.selectExpr(
+        "*",
+        "explode(IF(session = 0 AND scope IS NOT NULL AND on_system,"
+        " array(NULL, payment_system), array(CAST(NULL AS INT)))) AS system",
     )
     # Purchases sort first, so the next row of a purchase is the next purchase or a session,
     # and a session has no count to offer.
-    following = F.lead(F.when(purchase, F.col("inc"))).over(
-        Window.partitionBy(*scope, "system").orderBy("session", "time")
+    paired = series.selectExpr(
+        "*",
+        f"IF(session = 0, lead(IF(session = 0, inc, NULL)) OVER (PARTITION BY {scope}, system"
+        " ORDER BY session, time) - exc, NULL) AS between_pair",
     )
-    paired = series.withColumn("between", F.when(purchase, following - F.col("exc")))
-    return paired.groupBy(*scope, "system").agg(
-        F.sum(session).alias("sessions"),
-        F.sum(1 - session).alias("purchases"),
-        F.count("between").alias("pairs"),
-        F.coalesce(F.sum("between"), F.lit(0)).alias("raw"),
-        F.coalesce(F.sum(adjusted(F.col("between"))), F.lit(0)).alias("adjusted"),
+    return paired.groupBy(*keys, "slab", "scope", "system").agg(
+        F.expr("sum(session)").alias("sessions"),
+        F.expr("sum(1 - session)").alias("purchases"),
+        F.expr("count(between_pair)").alias("pairs"),
+        F.expr("coalesce(sum(between_pair), 0L)").alias("raw"),
+        F.expr(f"coalesce(sum({adjusted('between_pair')}), 0L)").alias("adjusted"),
         # sessions of the slab after its first purchase, and from its last purchase on
-        F.max(F.when(purchase, F.col("in_slab") - F.col("inc"))).alias("after_first"),
-        F.min(F.when(purchase, F.col("in_slab") - F.col("exc"))).alias("from_last"),
+        F.expr("max(IF(session = 0, in_slab - inc, NULL))").alias("after_first"),
+        F.expr("min(IF(session = 0, in_slab - exc, NULL))").alias("from_last"),
     )
 
 
 def _chain(slabs: DataFrame, keys: list[str]) -> DataFrame:
     """Complete the pairs that span slabs and sum up per user and series."""
-    upto = F.sum("sessions").over(
-        Window.partitionBy(*keys, "scope")
-        .orderBy("slab")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    scope = ", ".join([*reversed(keys), "scope"])
+    running = slabs.selectExpr(
+        "*",
+        f"sum(sessions) OVER (PARTITION BY {scope} ORDER BY slab"
+        " RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto",
+    ).filter("purchases > 0")
+    linked = running.selectExpr(
+        "*",
+        f"upto - after_first - lag(upto - from_last) OVER (PARTITION BY {scope}, system ORDER BY slab) AS spanning",
     )
-    previous = F.lag(F.col("upto") - F.col("from_last")).over(
-        Window.partitionBy(*keys, "scope", "system").orderBy("slab")
-    )
-    spanning = F.col("upto") - F.col("after_first") - F.col("previous")
-    return (
-        slabs.withColumn("upto", upto)
-        .filter(F.col("purchases") > 0)
-        .withColumn("previous", previous)
-        .withColumn("spanning", spanning)
-        .groupBy(*keys, F.col("scope").alias("platform"), F.col("system").alias("payment_system"))
-        .agg(
-            (F.sum("pairs") + F.count("spanning")).alias("pairs"),
-            F.sum(F.col("raw") + F.coalesce("spanning", F.lit(0))).alias("raw"),
-            F.sum(F.col("adjusted") + F.coalesce(adjusted(F.col("spanning")), F.lit(0))).alias("adjusted"),
-        )
+    return linked.groupBy(*keys, F.col("scope").alias("platform"), F.col("system").alias("payment_system")).agg(
+        F.expr("sum(pairs) + count(spanning)").alias("pairs"),
+        F.expr("sum(raw + coalesce(spanning, 0L))").alias("raw"),
+        F.expr(f"sum(adjusted + coalesce({adjusted('spanning')}, 0L))").alias("adjusted"),
     )

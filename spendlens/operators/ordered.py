@@ -17,7 +17,7 @@ SLAB = "1 minute"
 
 
 def with_slab(df: DataFrame, column: str = "time", slab: str = SLAB) -> DataFrame:
-    return df.withColumn("slab", F.window(column, slab).getField("start"))
+    return df.selectExpr("*", f"window({column}, '{slab}').start AS slab")
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], slab: str = SLAB) -> DataFrame:

@@ -117,22 +117,19 @@ class Windows:
 
     def _assign_adjacent(self, df: DataFrame, column: str, step: timedelta) -> DataFrame:
         """Adjacent windows: the window is arithmetic on the time, no join is needed."""
-        width = f"{step // MICROSECOND} microseconds"
-        offset = f"{((self.first - EPOCH) % step) // MICROSECOND} microseconds"
-        interval = F.expr(f"make_dt_interval(0, 0, 0, {step // MICROSECOND} / 1000000BD)")
-        df = df.withColumn("lower", F.window(column, width, startTime=offset).getField("start"))
+        width = f"'{step // MICROSECOND} microseconds'"
+        offset = f"'{((self.first - EPOCH) % step) // MICROSECOND} microseconds'"
+        interval = f"make_dt_interval(0, 0, 0, {step // MICROSECOND} / 1000000BD)"
+        df = df.selectExpr("*", f"window({column}, {width}, {width}, {offset}).start AS _start")
         if self.closed == "both":
-            on_edge = F.col(column) == F.col("lower")
-            df = df.withColumn(
-                "lower",
-                F.explode(
-                    F.when(on_edge, F.array(F.col("lower") - interval, F.col("lower"))).otherwise(
-                        F.array(F.col("lower"))
-                    )
-                ),
-            )
+            lower = f"explode(IF({column} = _start, array(_start - {interval}, _start), array(_start)))"
+        else:
+            lower = "_start"
+        df = df.selectExpr("*", f"{lower} AS lower").drop("_start")
         df = df.filter(F.col("lower").between(ntz_literal(self.first), ntz_literal(self.bounds[-1][0])))
-        return df.withColumn("upper", F.col("lower") + interval)
+        # A join on upper would add this filter, and keep Spark from sharing the scan with uses
+        # that do not join.
+        return df.selectExpr("*", f"lower + {interval} AS upper").filter("upper IS NOT NULL")
 
     def _assign_listed(self, df: DataFrame, column: str) -> DataFrame:
         """Any other windows: an equi join on the day, against one row per window and day."""
