@@ -55,7 +55,13 @@ def check(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
 def main(sf_dir: str, names: list[str]) -> int:
     from spendlens.session import build_session
 
-    spark = build_session(master="local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"})
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+    }
+    spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb_tables(sf_dir)
     failed = 0

@@ -230,6 +230,11 @@ def metrics(names: list[str], windows: str, apps: dict = ONE_APP, extra: str = "
     return f"{base(windows, apps)}{needed}\nSELECT {VALUE_COLUMNS}{extra} FROM (\n{rows}) WHERE {where}"
 
 
+# Documents continue in a further part after 10,000 purchases.
+PARTS = """,
+numbered AS (SELECT *, CAST((row_number() OVER (PARTITION BY lower, upper, user_id ORDER BY time, id) - 1) // 10000
+  AS INTEGER) AS part FROM pw)"""
+
 RATIO = ", numerator, denominator"
 IDS = "coalesce(string_agg({}id, ',' ORDER BY {}time, {}id), '')"
 IN_WEEK_2 = "lower >= TIMESTAMP '2024-01-08' AND upper <= TIMESTAMP '2024-01-15'"
@@ -324,13 +329,13 @@ FROM pp GROUP BY GROUPING SETS ((lower, platform, payment_system), (lower, platf
 SELECT platform, CAST(users AS DOUBLE) AS active_users, CAST(ids AS DOUBLE) AS sessions FROM ses_p""",
     "count_by_user": f"""{base(WEEKS)}{COUNTS}
 SELECT lower, platform, user_id, count(*) AS sessions FROM ss GROUP BY ALL""",
-    "collect_purchases": f"""{base(MONTH)}
-SELECT user_id, CAST(0 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n, {IDS.format('', '', '')} AS ids
-FROM pw GROUP BY user_id""",
+    "collect_purchases": f"""{base(MONTH)}{PARTS}
+SELECT user_id, part, CAST(count(*) AS INTEGER) AS n, {IDS.format('', '', '')} AS ids
+FROM numbered GROUP BY user_id, part""",
     "count_if_system": f"""{base(WEEKS)}{COUNTS}
-SELECT u.lower, u.user_id, pl.platform, CAST(count(ps.id) AS INTEGER) AS n,
-  CAST(count(CASE WHEN ps.payment_system = 1 THEN 1 END) AS INTEGER) AS n1,
-  CAST(count(CASE WHEN ps.payment_system = 2 THEN 1 END) AS INTEGER) AS n2
+SELECT u.lower, u.user_id, pl.platform, count(ps.id) AS n,
+  count(CASE WHEN ps.payment_system = 1 THEN 1 END) AS n1,
+  count(CASE WHEN ps.payment_system = 2 THEN 1 END) AS n2
 FROM pay u CROSS JOIN pl
 LEFT JOIN ps ON ps.lower = u.lower AND ps.user_id = u.user_id AND ps.platform = pl.platform
 GROUP BY u.lower, u.user_id, pl.platform""",
@@ -350,13 +355,13 @@ WHERE next_time IS NOT NULL""",
     "first_purchase_by_system": f"""{base(MONTH)}{COUNTS}{FIRST}
 SELECT user_id, platform, payment_system, t AS first_time FROM f_y""",
     "sessions_per_user": _user_counts(WEEKS, "ss"),
-    "paying_users": f"""{base(WEEKS)}
-SELECT lower, upper, user_id, CAST(0 AS INTEGER) AS part, {IDS.format('', '', '')} AS ids,
+    "paying_users": f"""{base(WEEKS)}{PARTS}
+SELECT lower, upper, user_id, part, {IDS.format('', '', '')} AS ids,
   coalesce(string_agg(CASE WHEN platform = 'Android' AND payment_system < 3 THEN id END, ',' ORDER BY time, id), '')
     AS android_ids,
   coalesce(string_agg(CASE WHEN platform = 'iOS' AND payment_system < 3 THEN id END, ',' ORDER BY time, id), '')
     AS ios_ids
-FROM pw GROUP BY lower, upper, user_id""",
+FROM numbered GROUP BY lower, upper, user_id, part""",
     **{
         name: metrics([name], WEEKS)
         for name in ("total_revenue", "active_users", "number_sessions", "lifetime_value")

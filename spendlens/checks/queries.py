@@ -380,17 +380,15 @@ def paying_users(spark, d):
 
 
 def count_if_system(spark, d):
-    counted = "size(filter(purchases, x -> x.payment_system = {}))"
+    counted = "sum(size(filter(purchases, x -> x.payment_system = {})))"
     return (
         _documents(spark, d, I.WEEKS)
         .selectExpr("lower", "user_id", "inline(purchases_per_platform)")
-        .selectExpr(
-            "lower",
-            "user_id",
-            "platform",
-            "size(purchases) AS n",
-            f"{counted.format(1)} AS n1",
-            f"{counted.format(2)} AS n2",
+        .groupBy("lower", "user_id", "platform")
+        .agg(
+            F.expr("sum(size(purchases))").alias("n"),
+            F.expr(counted.format(1)).alias("n1"),
+            F.expr(counted.format(2)).alias("n2"),
         )
     )
 
