@@ -68,10 +68,13 @@ def sessions_before_first(history: History, users: DataFrame, tenants: Tenants)
     purchase). Users without any such session have a row with 0."""
     owner = F.struct(*USER).alias("owner")
     # Naming first_any in a filter keeps it in both uses below, which then share one exchange.
+    # With an exchange of its own (one row per user) the join with the sessions has two shuffled
+    # inputs, the form that adaptive execution can split.
     wanted = (
         first_purchases(history.purchases, tenants)
         .join(users.select(*USER).distinct(), USER, "left_semi")
         .filter(F.col("first_any").isNotNull())
+        .repartition(*USER)
     )
     total = "array(named_struct('platform', CAST(NULL AS STRING), 'payment_system', CAST(NULL AS INT)))"
     pair = "f -> named_struct('platform', f.platform, 'payment_system', f.payment_system)"
