@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.operators.intervals import interval_totals
@@ -45,48 +45,57 @@ class History:
         return users.join(known, USER, "left_semi")
 
 
-def first_purchases(purchases: DataFrame, tenants: Tenants) -> DataFrame:
-    """Per user: the time of the first purchase ever (``first_any``), and the first purchase on
-    each configured platform with each configured payment system (``firsts``, an array with at
-    most one item per configured pair)."""
+def _owner() -> Column:
+    """The user packed into one column, see sessions_before_first."""
+    return F.struct(*USER).alias("owner")
+
+
+def _firsts_by_owner(purchases: DataFrame, tenants: Tenants) -> DataFrame:
     flagged = tenants.flag(purchases.filter(F.col("user_id").isNotNull()))
     configured = F.col("on_platform") & F.col("on_system")
     earliest = flagged.groupBy(*USER, "platform", "payment_system", configured.alias("configured")).agg(
         F.min("time").alias("time")
     )
     entry = F.struct("platform", "payment_system", "time")
-    return earliest.groupBy(*USER).agg(
+    return earliest.groupBy(_owner()).agg(
         F.min("time").alias("first_any"),
         F.collect_list(F.when(F.col("configured"), entry)).alias("firsts"),
     )
 
 
+def first_purchases(purchases: DataFrame, tenants: Tenants) -> DataFrame:
+    """Per user: the time of the first purchase ever (``first_any``), and the first purchase on
+    each configured platform with each configured payment system (``firsts``, an array with at
+    most one item per configured pair)."""
+    return _firsts_by_owner(purchases, tenants).select("owner.*", "first_any", "firsts")
+
+
 def sessions_before_first(history: History, users: DataFrame, tenants: Tenants) -> DataFrame:
     """Lifetime session counts of ``users`` up to their first purchases. One row per user and
     series: the total (platform and payment_system null; any session up to the first purchase
     of all), and each pair bought with (sessions on the platform up to the first such
     purchase). Users without any such session have a row with 0."""
-    owner = F.struct(*USER).alias("owner")
-    # Naming first_any in a filter keeps it in both uses below, which then share one exchange.
-    # With an exchange of its own (one row per user) the join with the sessions has two shuffled
-    # inputs, the form that adaptive execution can split.
+    # The user is packed into one column wherever rows are keyed by user alone. The join with the
+    # sessions, on the separate columns, then has an exchange on both sides and another one after
+    # it: the form in which adaptive execution can split the partition of a large user.
+    # Naming first_any in a filter keeps it in both uses, which then share one exchange.
     wanted = (
-        first_purchases(history.purchases, tenants)
-        .join(users.select(*USER).distinct(), USER, "left_semi")
+        _firsts_by_owner(history.purchases, tenants)
+        .join(users.select(_owner()).distinct(), "owner", "left_semi")
         .filter(F.col("first_any").isNotNull())
-        .repartition(*USER)
     )
     total = "array(named_struct('platform', CAST(NULL AS STRING), 'payment_system', CAST(NULL AS INT)))"
     pair = "f -> named_struct('platform', f.platform, 'payment_system', f.payment_system)"
     present = wanted.select(
-        owner, F.explode(F.expr(f"concat({total}, transform(firsts, {pair}))")).alias("series"), F.lit(0).alias("n")
+        "owner", F.explode(F.expr(f"concat({total}, transform(firsts, {pair}))")).alias("series"), F.lit(0).alias("n")
     )
     reached = "filter(firsts, f -> f.platform = platform AND time <= f.time)"
     met = F.expr(f"concat(IF(time <= first_any, {total}, array()), transform({reached}, {pair}))")
-    # Counting by the packed owner instead of the join keys calls for an exchange after
-    # partial aggregation, so a split join partition costs no further shuffle.
     sessions = history.sessions.select(*USER, "time", "platform").filter(F.col("user_id").isNotNull())
-    counted = sessions.join(wanted, USER).select(owner, F.explode(met).alias("series"), F.lit(1).alias("n"))
+    thresholds = wanted.select("owner.*", "first_any", "firsts")
+    counted = sessions.join(thresholds, USER).select(
+        _owner(), F.explode(met).alias("series"), F.lit(1).alias("n")
+    )
     return (
         counted.unionByName(present)
         .groupBy("owner", "series")
