@@ -4,6 +4,8 @@ A user may own a large share of all rows, so no step sorts or collects a whole u
 events are cut into short *slabs* of time; a user's slab is the unit that is sorted. What must
 cross a slab edge (counts, first and last events) is summarised to one row per slab and
 carried along the slabs, whose number is bounded by the time span, not by the row count.
+
+Keys must not be null.
 """
 
 from __future__ import annotations

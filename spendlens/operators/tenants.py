@@ -39,24 +39,24 @@ class Tenants:
     def of(cls, frame: DataFrame) -> Tenants:
         """Measure the catalogue (reading no more than the limit) and keep what was found."""
         frame = frame.select(*TENANT, "platforms", "payment_systems")
-        size = (
-            frame.limit(BROADCAST_ROWS + 1)
-            .agg(
-                F.count("*").alias("rows"),
-                F.sum(F.size("platforms") + F.size("payment_systems")).alias("configured"),
-            )
-            .first()
-        )
-        small = size["rows"] <= BROADCAST_ROWS and (size["configured"] or 0) <= BROADCAST_VALUES
+        values = F.size("platforms") + F.size("payment_systems")
+        sizes = [row.n for row in frame.select(values.alias("n")).take(BROADCAST_ROWS + 1)]
+        small = len(sizes) <= BROADCAST_ROWS and sum(sizes) <= BROADCAST_VALUES
         return cls(frame, small)
 
-    @property
-    def side(self) -> DataFrame:
-        """The catalogue as the small side of a join, hinted only where it was measured."""
-        return F.broadcast(self.frame) if self.small else self.frame
+    def join(self, df: DataFrame, how: str = "inner") -> DataFrame:
+        """Join with the catalogue, which is broadcast only where it was measured. Otherwise the
+        key is packed into one column, so that later steps keyed by company and app do not
+        inherit the partitioning of the join: they bring an exchange, and adaptive execution can
+        split a large tenant here."""
+        if self.small:
+            return df.join(F.broadcast(self.frame), TENANT, how)
+        packed = F.struct(*TENANT)
+        catalogue = self.frame.withColumn("_tenant", packed).drop(*TENANT)
+        return df.withColumn("_tenant", packed).join(catalogue, "_tenant", how).drop("_tenant")
 
     def known(self, df: DataFrame) -> DataFrame:
-        return df.join(self.side, TENANT, "left_semi")
+        return self.join(df, "left_semi")
 
     def keys(self, windows: Windows) -> DataFrame:
         return self.frame.select(*TENANT, F.inline(windows.array()))
@@ -64,7 +64,7 @@ class Tenants:
     def flag(self, df: DataFrame) -> DataFrame:
         """Keep rows of known tenants and add ``on_platform`` (and ``on_system`` for rows with a
         payment system): is the value configured for the tenant?"""
-        flagged = df.join(self.side, TENANT).withColumn(
+        flagged = self.join(df).withColumn(
             "on_platform", F.coalesce(F.array_contains("platforms", F.col("platform")), F.lit(False))
         )
         if "payment_system" in df.columns:

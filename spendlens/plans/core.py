@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spendlens.operators.ordered import in_parts
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
-from spendlens.schema import TENANT, USER_KEY
+from spendlens.schema import USER_KEY
 
 # Purchases held by one output row of paying_user_documents.
 DOCUMENT_ITEMS = 10_000
@@ -82,7 +82,7 @@ def paying_user_documents(
             i["platform"].alias("platform"),
         ),
     )
-    return collected.join(tenants.side, TENANT).select(
+    return tenants.join(collected).select(
         *USER_KEY,
         "part",
         everything.alias("purchases"),

@@ -92,9 +92,13 @@ def sessions_before_first(history: History, users: DataFrame, tenants: Tenants)
     reached = "filter(firsts, f -> f.platform = platform AND time <= f.time)"
     met = F.expr(f"concat(IF(time <= first_any, {total}, array()), transform({reached}, {pair}))")
     sessions = history.sessions.select(*USER, "time", "platform").filter(F.col("user_id").isNotNull())
-    thresholds = wanted.select("owner.*", "first_any", "firsts")
-    counted = sessions.join(thresholds, USER).select(
-        _owner(), F.explode(met).alias("series"), F.lit(1).alias("n")
+    # Sessions after the last of a user's first purchases count for none of them.
+    latest = F.expr("coalesce(array_max(transform(firsts, f -> f.time)), first_any)").alias("latest")
+    thresholds = wanted.select("owner.*", "first_any", "firsts", latest)
+    counted = (
+        sessions.join(thresholds, USER)
+        .filter("time <= latest")
+        .select(_owner(), F.explode(met).alias("series"), F.lit(1).alias("n"))
     )
     return (
         counted.unionByName(present)
