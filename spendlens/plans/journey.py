@@ -130,8 +130,9 @@ def between_purchases(
     purchases: DataFrame, sessions: DataFrame, paying: DataFrame
 ) -> DataFrame:
     """Sessions between consecutive purchases, per user and series (see interval_totals).
-    ``purchases`` and ``sessions`` are sliced by window; only sessions between a user's first
-    and last purchase of the window can count, so the others leave before the shuffle."""
+    ``purchases`` and ``sessions`` are sliced by window. Only users with several purchases in the
+    window can count, and of their sessions those between the first and the last purchase; all
+    other rows leave before the events are ordered."""
     repeat = paying.filter("purchases > 1").select(*USER_KEY, "first_time", "last_time")
     inside = (
         sessions.filter(F.col("user_id").isNotNull())
@@ -139,7 +140,10 @@ def between_purchases(
         .join(repeat, USER_KEY)
         .filter(F.col("time").between(F.col("first_time"), F.col("last_time")))
     )
-    return interval_totals(purchases.filter(F.col("user_id").isNotNull()), inside, USER_KEY)
+    bought = purchases.filter(F.col("user_id").isNotNull()).join(
+        repeat.select(*USER_KEY), USER_KEY, "left_semi"
+    )
+    return interval_totals(bought, inside, USER_KEY)
 
 
 def between_purchase_measures(
