@@ -133,14 +133,11 @@ class Windows:
 
     def _assign_listed(self, df: DataFrame, column: str) -> DataFrame:
         """Any other windows: an equi join on the day, against one row per window and day."""
-        rows = [
-            (lower.date() + timedelta(days=i), lower, upper)
-            for lower, upper in self.bounds
-            for i in range((upper.date() - lower.date()).days + 1)
-        ]
-        values = ", ".join(f"(DATE'{d}', TIMESTAMP_NTZ'{lo}', TIMESTAMP_NTZ'{hi}')" for d, lo, hi in rows)
-        table = df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS w(_day, lower, upper)")
-        if len(rows) <= BROADCAST_ROWS:
+        days = sum((upper.date() - lower.date()).days + 1 for lower, upper in self.bounds)
+        table = self.frame(df.sparkSession).selectExpr(
+            "explode(sequence(CAST(lower AS DATE), CAST(upper AS DATE))) AS _day", "lower", "upper"
+        )
+        if days <= BROADCAST_ROWS:
             table = F.broadcast(table)
         moment = F.col(column)
         return (
