@@ -13,6 +13,10 @@ from spendlens.operators.windows import Windows
 # Fixed values of the fixture mapping.
 PLATFORM = "CASE event_id % 3 WHEN 0 THEN 'Android' WHEN 1 THEN 'iOS' ELSE 'Web' END"
 PAYMENT_SYSTEM = "1 + CAST(get_json_object(props, '$.k') AS INT) % 3"
+# One company and app, computed from a column: as literals they would vanish from the keys of
+# joins and shuffles, which a stored table keeps.
+COMPANY = "IF(event_id IS NULL, 'none', 'acme')"
+MAIN = "IF(event_id IS NULL, 'none', 'main')"
 APP = "concat('app', CAST(user_id % 2 AS STRING))"
 SESSION_EVENTS = ["view", "click", "signup"]
 
@@ -29,12 +33,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def purchases(spark: SparkSession, sf_dir: str, app: str = "'main'") -> DataFrame:
+def purchases(spark: SparkSession, sf_dir: str, app: str = MAIN) -> DataFrame:
     return (
         events(spark, sf_dir)
         .filter(F.col("event_type") == "purchase")
         .select(
-            F.lit("acme").alias("company"),
+            F.expr(COMPANY).alias("company"),
             F.expr(app).alias("app"),
             F.col("event_id").cast("string").alias("id"),
             F.col("user_id").cast("string").alias("user_id"),
@@ -46,12 +50,12 @@ def purchases(spark: SparkSession, sf_dir: str, app: str = "'main'") -> DataFram
     )
 
 
-def sessions(spark: SparkSession, sf_dir: str, app: str = "'main'") -> DataFrame:
+def sessions(spark: SparkSession, sf_dir: str, app: str = MAIN) -> DataFrame:
     return (
         events(spark, sf_dir)
         .filter(F.col("event_type").isin(SESSION_EVENTS))
         .select(
-            F.lit("acme").alias("company"),
+            F.expr(COMPANY).alias("company"),
             F.expr(app).alias("app"),
             F.concat(F.col("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMddHH")).alias("id"),
             F.col("user_id").cast("string").alias("user_id"),
