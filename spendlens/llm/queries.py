@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spendlens.llm.common import id_hash_mod, ship_package
 from spendlens.llm.decontamination import find_benchmark
 from spendlens.llm.language import fit_languages, predict_languages
+from spendlens.llm.neardup import near_duplicates
 from spendlens.llm.toxicity import fit_severity, score_severity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), num=85, den=100)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_benchmark(documents, table(spark, sf_dir, "benchmark"), window=10)
@@ -54,6 +59,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_superminhash": op4_superminhash,
     "op5_decontamination": op5_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
