@@ -38,10 +38,21 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Labelled documents that the severity model is fitted on at most.
+SEVERITY_SAMPLE = 20_000
+
+
 def labelled_severity(spark: SparkSession, sf_dir: str, documents: DataFrame) -> DataFrame:
-    """Documents with the toxicity label as grade."""
+    """At most about SEVERITY_SAMPLE documents with their toxicity label as grade. The labels are
+    drawn by a hash of the id before the join, whose bound allows to broadcast them, so the texts
+    are not shuffled."""
     labels = table(spark, sf_dir, "labels").filter("toxic IS NOT NULL").select("doc_id", F.col("toxic").alias("grade"))
-    return documents.select("doc_id", "text").join(labels, "doc_id").select("text", "grade")
+    share = SEVERITY_SAMPLE / max(1, labels.count())
+    if share < 1:
+        drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
+        labels = labels.filter(drawn < int(share * (1 << 30)))
+    few = F.broadcast(labels.limit(2 * SEVERITY_SAMPLE))
+    return documents.select("doc_id", "text").join(few, "doc_id").select("text", "grade")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

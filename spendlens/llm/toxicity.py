@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.llm.common import stored
 from spendlens.llm.text import ALNUM, Words, distinct_within, slices
 
 
@@ -51,7 +52,7 @@ def fit_severity(
     if share < 1:
         drawn = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30))
         rows = rows.filter(drawn < int(share * (1 << 30)))
-    rows = rows.select(F.col("text").cast("binary").alias("text"), "grade")
+    rows = stored(rows.select(F.col("text").cast("binary").alias("text"), "grade"), "labelled")
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
