@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from spendlens.llm.common import id_hash_mod, ship_package
 from spendlens.llm.decontamination import find_benchmark
 from spendlens.llm.language import fit_languages, predict_languages
+from spendlens.llm.lattice import VOCABULARY, score_texts
 from spendlens.llm.neardup import near_duplicates
+from spendlens.llm.similarity import similar_vectors
 from spendlens.llm.toxicity import fit_severity, score_severity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), num=85, den=100)
 
@@ -38,6 +44,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lattice(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    train = id_hash_mod("doc_id", 5) != 1
+    scored = score_texts(documents.select("doc_id", "text", train.alias("train")), vocabulary)
+    return scored.withColumn("held_out", ~F.col("train")).drop("train")
+
+
 #: Labelled documents that the severity model is fitted on at most.
 SEVERITY_SAMPLE = 20_000
 
@@ -70,8 +83,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_epsilon_grid": op1_epsilon_grid,
     "op4_superminhash": op4_superminhash,
     "op5_decontamination": op5_decontamination,
+    "op6_lattice": op6_lattice,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
 }
