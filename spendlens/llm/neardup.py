@@ -22,12 +22,14 @@ PART_ROWS = 128
 PART_SHINGLES = 400_000
 
 
-def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes], size: int, min_words: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, sorted, and their bounds."""
-    return distinct_within(*shingle_hashes(Words(texts, SPACED), size))
+    return distinct_within(*shingle_hashes(Words(texts, SPACED), size, min_words))
 
 
-def fingerprints(items: DataFrame, size: int, signature: Signature, bands: int, rows: int) -> DataFrame:
+def fingerprints(
+    items: DataFrame, size: int, signature: Signature, bands: int, rows: int, min_words: int = 1
+) -> DataFrame:
     """(id, n_shingles long, set_1 long, set_2 long, bands array<long>) for items (id long, text):
     the size of the set of shingles, a 128-bit hash of the set, and one key per band."""
 
@@ -35,7 +37,7 @@ def fingerprints(items: DataFrame, size: int, signature: Signature, bands: int,
         for batch in batches:
             ids = batch.column("id")
             for first, texts in slices(batch.column("text").to_pylist()):
-                values, bounds = shingle_sets(texts, size)
+                values, bounds = shingle_sets(texts, size, min_words)
                 sizes = np.diff(bounds)
                 sums = [np.append(np.uint64(0), np.cumsum(mix(values + np.uint64(k)))) for k in (1, 2)]
                 hashes = [mix(s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums]
@@ -191,6 +193,7 @@ def near_duplicates(
     bands: int = 25,
     rows: int = 5,
     signature: Signature = superminhash,
+    min_words: int = 1,
 ) -> DataFrame:
     """For documents (doc_id, text): one row (doc_id, n_shingles long, component_id long, kept
     boolean) per row. Documents are linked if den * |intersection| >= num * |union| of their sets
@@ -198,7 +201,7 @@ def near_duplicates(
     is the document's own.
 
     Words are what ASCII white space divides, A-Z in lower case. A text of fewer words is one
-    shingle. Without words the set is empty: the document is linked with nothing and kept. A null
+    shingle. Without words, or with less than `min_words`, the set is empty: the document is linked with nothing and kept. A null
     doc_id is linked with nothing, has a null component_id and is kept. Rows of one doc_id count
     as one document that has the links of each. Other columns are ignored.
 
@@ -206,7 +209,7 @@ def near_duplicates(
     comparison. `bands` keys of `rows` signature values each find a pair of similarity s with
     probability 1 - (1 - s^rows)^bands: 99.99995 % at 0.85, 99.995 % at 0.8."""
     items = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-    marked = stored(fingerprints(items, size, signature, bands, rows), "fingerprints")
+    marked = stored(fingerprints(items, size, signature, bands, rows, min_words), "fingerprints")
     filled = marked.filter("n_shingles > 0 AND id IS NOT NULL")
     first = filled.groupBy("set_1", "set_2").agg(F.min("id").alias("first"))
     bands_once = F.when(F.col("id") == F.col("first"), F.col("bands")).alias("bands")

@@ -11,7 +11,10 @@ from spendlens.llm.common import id_hash_mod, ship_package
 from spendlens.llm.decontamination import find_benchmark
 from spendlens.llm.language import fit_languages, predict_languages
 from spendlens.llm.lattice import VOCABULARY, score_texts
+from spendlens.llm.mixing import mix_sources
 from spendlens.llm.neardup import near_duplicates
+from spendlens.llm.paragraphs import removal_summary, repeated_paragraphs
+from spendlens.llm.quality import fit_quality, hierarchical_quality, score_documents
 from spendlens.llm.similarity import similar_vectors
 from spendlens.llm.toxicity import fit_severity, score_severity
 
@@ -27,6 +30,18 @@ def op1_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document is its host, the language section of the source its path."""
+    documents = table(spark, sf_dir, "documents")
+    labelled = labelled_sample(spark, sf_dir, documents, "quality")
+    rows = documents.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), "text")
+    return hierarchical_quality(score_documents(rows, fit_quality(labelled)))
+
+
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), num=85, den=100)
 
@@ -51,26 +66,26 @@ def op6_lattice(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY)
     return scored.withColumn("held_out", ~F.col("train")).drop("train")
 
 
-#: Labelled documents that the severity model is fitted on at most.
-SEVERITY_SAMPLE = 20_000
+#: Labelled documents that a model is fitted on at most.
+LABEL_SAMPLE = 20_000
 
 
-def labelled_severity(spark: SparkSession, sf_dir: str, documents: DataFrame) -> DataFrame:
-    """At most about SEVERITY_SAMPLE documents with their toxicity label as grade. The labels are
-    drawn by a hash of the id before the join, whose bound allows to broadcast them, so the texts
-    are not shuffled."""
-    labels = table(spark, sf_dir, "labels").filter("toxic IS NOT NULL").select("doc_id", F.col("toxic").alias("grade"))
-    share = SEVERITY_SAMPLE / max(1, labels.count())
+def labelled_sample(spark: SparkSession, sf_dir: str, documents: DataFrame, label: str) -> DataFrame:
+    """(text, label) of at most about LABEL_SAMPLE labelled documents. The labels are drawn by a hash
+    of the id before the join, whose bound allows to broadcast them, so the texts are not shuffled."""
+    labels = table(spark, sf_dir, "labels").filter(F.col(label).isNotNull()).select("doc_id", label)
+    share = LABEL_SAMPLE / max(1, labels.count())
     if share < 1:
         drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
         labels = labels.filter(drawn < int(share * (1 << 30)))
-    few = F.broadcast(labels.limit(2 * SEVERITY_SAMPLE))
-    return documents.select("doc_id", "text").join(few, "doc_id").select("text", "grade")
+    few = F.broadcast(labels.limit(2 * LABEL_SAMPLE))
+    return documents.select("doc_id", "text").join(few, "doc_id").select("text", label)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit_severity(labelled_severity(spark, sf_dir, documents))
+    labelled = labelled_sample(spark, sf_dir, documents, "toxic").withColumnRenamed("toxic", "grade")
+    model = fit_severity(labelled)
     scored = score_severity(documents, model)
     return scored.select("doc_id", "severity", "grade", "p_toxic", (F.col("grade") > 0).alias("toxic"))
 
@@ -82,13 +97,21 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(documents.select("doc_id", "text", held_out.alias("held_out")), model)
 
 
+def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return removal_summary(documents, repeated_paragraphs(documents))
+
+
 QUERIES: dict[str, Query] = {
     "op1_epsilon_grid": op1_epsilon_grid,
+    "op2_pfair_mix": op2_pfair_mix,
+    "op3_quality": op3_quality,
     "op4_superminhash": op4_superminhash,
     "op5_decontamination": op5_decontamination,
     "op6_lattice": op6_lattice,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
+    "op10_paragraphs": op10_paragraphs,
 }
 
 ORACLES: dict[str, str] = {}

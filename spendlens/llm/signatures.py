@@ -54,14 +54,15 @@ def superminhash(values: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarra
 
 
 def minhash(values: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
-    """Plain MinHash signatures, uint64 [sets, size]: the least of each of `size` hashes."""
+    """Plain MinHash signatures, uint64 [sets, size]: the least of each of `size` hashes, which are
+    the values, hashes themselves, times an odd number."""
     n_sets = len(bounds) - 1
     out = np.full((n_sets, size), np.iinfo(np.uint64).max, np.uint64)
     some = np.diff(bounds) > 0
     if some.any():
+        factors = mix(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
         for j in range(size):
-            hashed = mix(values ^ np.uint64((j + 1) * _GOLDEN % (1 << 64)))
-            out[some, j] = np.minimum.reduceat(hashed, bounds[:-1][some])
+            out[some, j] = np.minimum.reduceat(values * factors[j], bounds[:-1][some])
     return out
 
 

@@ -103,10 +103,10 @@ class Words:
         return self.data[self.starts[i] : self.ends[i]].tobytes().lower()
 
 
-def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(words: Words, size: int, min_words: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's runs of `size` words (of all its words, if fewer), not yet distinct,
-    and the bounds of each text's part."""
-    n, counts = len(words.hashes), words.counts
+    and the bounds of each text's part. Texts of less than `min_words` words have none."""
+    n, counts = len(words.hashes), np.where(words.counts < min_words, 0, words.counts)
     made = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     bounds = np.append(0, np.cumsum(made))
     owner = np.repeat(np.arange(len(counts)), made)
