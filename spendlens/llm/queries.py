@@ -16,6 +16,7 @@ from spendlens.llm.neardup import near_duplicates
 from spendlens.llm.paragraphs import removal_summary, repeated_paragraphs
 from spendlens.llm.quality import fit_quality, hierarchical_quality, score_documents
 from spendlens.llm.similarity import similar_vectors
+from spendlens.llm.suffixes import remove_repeats
 from spendlens.llm.toxicity import fit_severity, score_severity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +98,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(documents.select("doc_id", "text", held_out.alias("held_out")), model)
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return removal_summary(documents, repeated_paragraphs(documents))
@@ -111,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op6_lattice": op6_lattice,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
+    "op9_suffixes": op9_suffixes,
     "op10_paragraphs": op10_paragraphs,
 }
 
