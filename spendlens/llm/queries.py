@@ -13,6 +13,7 @@ from spendlens.llm.language import fit_languages, predict_languages
 from spendlens.llm.lattice import VOCABULARY, score_texts
 from spendlens.llm.mixing import mix_sources
 from spendlens.llm.neardup import near_duplicates
+from spendlens.llm.oracles import ORACLES
 from spendlens.llm.paragraphs import removal_summary, repeated_paragraphs
 from spendlens.llm.quality import fit_quality, hierarchical_quality, score_documents
 from spendlens.llm.similarity import similar_vectors
@@ -105,7 +106,8 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return removal_summary(documents, repeated_paragraphs(documents))
+    summary = removal_summary(documents, repeated_paragraphs(documents))
+    return summary.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
 QUERIES: dict[str, Query] = {
@@ -121,4 +123,4 @@ QUERIES: dict[str, Query] = {
     "op10_paragraphs": op10_paragraphs,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
