@@ -82,7 +82,7 @@ def similar_edges(marked: DataFrame, items: DataFrame, size: int, num: int, den:
         )
     )
     texts = items.select(F.col("id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    rows = texts.join(placed, "id").select("place.leader", "place.i", "place.j", "id", "text")
+    rows = texts.hint("merge").join(placed, "id").select("place.leader", "place.i", "place.j", "id", "text")
 
     def compare(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups:
