@@ -26,6 +26,9 @@ WEEK = timedelta(days=7)
 # All 30 days of the test data are inside: five adjacent weeks, or 30 days.
 WEEKS = Windows.every(FIRST_DAY, WEEK, 5)
 DAYS = Windows.every(FIRST_DAY, timedelta(days=1), 30)
+WEEK_2 = Windows.single(datetime(2024, 1, 8), datetime(2024, 1, 15))
+# Overlapping windows, as days from the first.
+LISTED = [(0, 10), (5, 6), (5, 20), (28, 30)]
 MONTH = Windows.single(FIRST_DAY, datetime(2024, 1, 31))
 
 

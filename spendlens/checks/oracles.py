@@ -10,20 +10,24 @@ WEEKS = """SELECT TIMESTAMP '2024-01-01' + INTERVAL (7 * i) DAY AS lower,
     TIMESTAMP '2024-01-01' + INTERVAL (7 * i + 7) DAY AS upper FROM range(5) r(i)"""
 DAYS = """SELECT TIMESTAMP '2024-01-01' + INTERVAL (i) DAY AS lower,
     TIMESTAMP '2024-01-01' + INTERVAL (i + 1) DAY AS upper FROM range(30) r(i)"""
+WEEK_2 = "SELECT TIMESTAMP '2024-01-08' AS lower, TIMESTAMP '2024-01-15' AS upper"
 MONTH = "SELECT TIMESTAMP '2024-01-01' AS lower, TIMESTAMP '2024-01-31' AS upper"
 
+LISTED = """SELECT TIMESTAMP '2024-01-01' + INTERVAL (a) DAY AS lower, TIMESTAMP '2024-01-01' + INTERVAL (b) DAY AS upper
+  FROM (VALUES (0, 10), (5, 6), (5, 20), (28, 30)) r(a, b)"""
+
 ONE_APP = {"main": (["Android", "iOS"], [1, 2])}
 TWO_APPS = {"app0": (["Android", "iOS"], [1, 2]), "app1": (["Web", "iOS"], [2, 3])}
 
 
-def base(windows: str, apps: dict = ONE_APP) -> str:
+def base(windows: str, apps: dict = ONE_APP, buyer: str = "user_id") -> str:
     """CTEs: inputs (p, s), windows (w), configured platforms and systems (pl, sy), report
     cells by grain (gt, gp, gs), and the inputs sliced by window (pw, sw)."""
     app = "'main'" if apps is ONE_APP else "'app' || CAST(user_id % 2 AS VARCHAR)"
     pl = ", ".join(f"('{a}', '{p}')" for a, (ps, _) in apps.items() for p in ps)
     sy = ", ".join(f"('{a}', {y})" for a, (_, ys) in apps.items() for y in ys)
     return f"""WITH p AS (
-  SELECT {app} AS app, CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, value AS price,
+  SELECT {app} AS app, CAST(event_id AS VARCHAR) AS id, CAST({buyer} AS VARCHAR) AS user_id, value AS price,
     ts AS time, {PLATFORM} AS platform, {SYSTEM} AS payment_system
   FROM events WHERE event_type = 'purchase'),
 s AS (
@@ -55,18 +59,19 @@ ses_p AS (SELECT app, lower, upper, platform, count(DISTINCT user_id) AS users,
     count(user_id) AS rows
   FROM gp LEFT JOIN ss USING (app, lower, upper, platform) GROUP BY ALL),
 ses_t AS (SELECT app, lower, upper, sum(users) AS users, sum(ids) AS ids, sum(rows) AS rows FROM ses_p GROUP BY ALL),
-pay AS (SELECT app, lower, upper, user_id, count(*) AS n FROM pw GROUP BY ALL),
+pay AS (SELECT app, lower, upper, user_id, count(*) AS n FROM pw WHERE user_id IS NOT NULL GROUP BY ALL),
 pay_t AS (SELECT app, lower, upper, count(user_id) AS users, coalesce(sum(n), 0) AS n,
     coalesce(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END), 0) AS repeats
   FROM gt LEFT JOIN pay USING (app, lower, upper) GROUP BY ALL),
 num_y AS (SELECT app, lower, upper, platform, payment_system, count(id) AS n
-  FROM gs LEFT JOIN ps USING (app, lower, upper, platform, payment_system) GROUP BY ALL),
+  FROM gs LEFT JOIN (SELECT * FROM ps WHERE user_id IS NOT NULL) USING (app, lower, upper, platform, payment_system)
+  GROUP BY ALL),
 num_p AS (SELECT app, lower, upper, platform, count(id) AS n
-  FROM gp LEFT JOIN ps USING (app, lower, upper, platform) GROUP BY ALL)"""
+  FROM gp LEFT JOIN (SELECT * FROM ps WHERE user_id IS NOT NULL) USING (app, lower, upper, platform) GROUP BY ALL)"""
 
 # Sessions up to the first purchase: lifetime history of the users with a configured purchase.
 FIRST = """,
-mat AS (SELECT DISTINCT app, lower, upper, user_id FROM ps),
+mat AS (SELECT DISTINCT app, lower, upper, user_id FROM ps WHERE user_id IS NOT NULL),
 f_t AS (SELECT app, user_id, min(time) AS t FROM p GROUP BY ALL),
 f_y AS (SELECT p.app, user_id, platform, payment_system, min(time) AS t
   FROM p SEMI JOIN pl USING (app, platform) SEMI JOIN sy USING (app, payment_system) GROUP BY ALL),
@@ -220,20 +225,22 @@ METRICS: dict[str, list[str]] = {
 VALUE_COLUMNS = "company, app, lower, upper, metric, grain, platform, payment_system, value"
 
 
-def metrics(names: list[str], windows: str, apps: dict = ONE_APP, extra: str = "", where: str = "true") -> str:
+def metrics(
+    names: list[str],
+    windows: str,
+    apps: dict = ONE_APP,
+    extra: str = "",
+    where: str = "true",
+    buyer: str = "user_id",
+) -> str:
     needed = COUNTS
     if "sessions_first_purchase" in names:
         needed += FIRST
     if "sessions_between_purchases" in names:
         needed += BETWEEN
     rows = "\nUNION ALL ".join(part for name in names for part in METRICS[name])
-    return f"{base(windows, apps)}{needed}\nSELECT {VALUE_COLUMNS}{extra} FROM (\n{rows}) WHERE {where}"
-
+    return f"{base(windows, apps, buyer)}{needed}\nSELECT {VALUE_COLUMNS}{extra} FROM (\n{rows}) WHERE {where}"
 
-# Documents continue in a further part after 10,000 purchases.
-PARTS = """,
-numbered AS (SELECT *, CAST((row_number() OVER (PARTITION BY lower, upper, user_id ORDER BY time, id) - 1) // 10000
-  AS INTEGER) AS part FROM pw)"""
 
 RATIO = ", numerator, denominator"
 IDS = "coalesce(string_agg({}id, ',' ORDER BY {}time, {}id), '')"
@@ -283,11 +290,12 @@ UNION ALL SELECT 'session', CAST(user_id AS VARCHAR), {MS}, {PLATFORM}, 0 FROM e
 FROM ({metrics(["number_sessions"], DAYS)}) GROUP BY ALL""",
     "tenant_apps": """SELECT DISTINCT 'acme' AS company, 'app' || CAST(user_id % 2 AS VARCHAR) AS app,
   CASE user_id % 2 WHEN 0 THEN 'Android,iOS' ELSE 'Web,iOS' END AS platforms,
-  CASE user_id % 2 WHEN 0 THEN '1,2' ELSE '2,3' END AS payment_systems FROM events""",
+  CASE user_id % 2 WHEN 0 THEN '1,2' ELSE '2,3' END AS payment_systems FROM events
+UNION ALL VALUES ('acme', 'bare', '', ''), ('acme', 'blank', '', '')""",
     "metric_document": _document(),
     "slice_window_platform": f"{base(WEEKS)}{COUNTS} SELECT lower, upper, id, user_id, time, platform FROM ss",
     "filter_window_containment": metrics(["total_revenue"], DAYS, where=f"grain = 'total' AND {IN_WEEK_2}"),
-    "filter_window": f"{base(MONTH)} SELECT lower, upper, id, user_id, time FROM pw",
+    "filter_window": f"{base(WEEK_2)} SELECT lower, upper, id, user_id, time FROM pw",
     "filter_configured": f"""{base(MONTH)} SELECT id, platform, payment_system FROM p
 WHERE platform IN ('Android', 'iOS') AND payment_system IN (1, 2)""",
     "qualifying_payers": f"{base(WEEKS)}{COUNTS} SELECT DISTINCT lower, upper, user_id FROM ps",
@@ -329,9 +337,9 @@ FROM pp GROUP BY GROUPING SETS ((lower, platform, payment_system), (lower, platf
 SELECT platform, CAST(users AS DOUBLE) AS active_users, CAST(ids AS DOUBLE) AS sessions FROM ses_p""",
     "count_by_user": f"""{base(WEEKS)}{COUNTS}
 SELECT lower, platform, user_id, count(*) AS sessions FROM ss GROUP BY ALL""",
-    "collect_purchases": f"""{base(MONTH)}{PARTS}
-SELECT user_id, part, CAST(count(*) AS INTEGER) AS n, {IDS.format('', '', '')} AS ids
-FROM numbered GROUP BY user_id, part""",
+    "collect_purchases": f"""{base(MONTH)}
+SELECT user_id, CAST(count(*) AS INTEGER) AS n, {IDS.format('', '', '')} AS ids
+FROM pw GROUP BY user_id""",
     "count_if_system": f"""{base(WEEKS)}{COUNTS}
 SELECT u.lower, u.user_id, pl.platform, count(ps.id) AS n,
   count(CASE WHEN ps.payment_system = 1 THEN 1 END) AS n1,
@@ -355,13 +363,13 @@ WHERE next_time IS NOT NULL""",
     "first_purchase_by_system": f"""{base(MONTH)}{COUNTS}{FIRST}
 SELECT user_id, platform, payment_system, t AS first_time FROM f_y""",
     "sessions_per_user": _user_counts(WEEKS, "ss"),
-    "paying_users": f"""{base(WEEKS)}{PARTS}
-SELECT lower, upper, user_id, part, {IDS.format('', '', '')} AS ids,
+    "paying_users": f"""{base(WEEKS)}
+SELECT lower, upper, user_id, {IDS.format('', '', '')} AS ids,
   coalesce(string_agg(CASE WHEN platform = 'Android' AND payment_system < 3 THEN id END, ',' ORDER BY time, id), '')
     AS android_ids,
   coalesce(string_agg(CASE WHEN platform = 'iOS' AND payment_system < 3 THEN id END, ',' ORDER BY time, id), '')
     AS ios_ids
-FROM numbered GROUP BY lower, upper, user_id, part""",
+FROM pw GROUP BY lower, upper, user_id""",
     **{
         name: metrics([name], WEEKS)
         for name in ("total_revenue", "active_users", "number_sessions", "lifetime_value")
@@ -382,4 +390,22 @@ SELECT lower, upper, count(*) AS events FROM events JOIN w ON ts BETWEEN lower A
     "backfill_revenue_daily": metrics(["total_revenue"], DAYS, where="grain = 'total'"),
     "tenant_revenue": metrics(["total_revenue"], WEEKS, TWO_APPS),
     "metrics_all": metrics(list(METRICS), DAYS),
+    "tenant_metrics_all": metrics(list(METRICS), WEEKS, TWO_APPS),
+    "metrics_with_missing_fields": metrics(
+        list(METRICS), WEEKS, buyer="CASE WHEN event_id % 7 <> 0 THEN user_id END"
+    ),
+    # A profile has its times in milliseconds; no two events of a user are closer in the test data.
+    "journeys_from_profiles": metrics(
+        ["sessions_first_purchase", "sessions_between_purchases"], WEEKS, extra=RATIO
+    ),
+    "windows_left_closed": f"""WITH w AS ({DAYS})
+SELECT lower, upper, count(*) AS events FROM events JOIN w ON ts >= lower AND ts < upper GROUP BY ALL""",
+    "windows_listed": f"""{base(LISTED)}
+SELECT lower, upper, count(*) AS purchases, round(sum(price), 6) AS revenue FROM pw GROUP BY ALL""",
+    "purchases_in_window": f"""{base(WEEK_2)}
+SELECT lower, upper, user_id, count(*) AS purchases FROM pw GROUP BY ALL""",
+    "platforms_in_order": f"""{base(WEEKS)}{COUNTS}
+SELECT x.lower, x.upper, string_agg(p.platform, ',' ORDER BY p.platform) AS platforms, CAST(max(x.ids) AS DOUBLE) AS result
+FROM ses_t x JOIN ses_p p USING (app, lower, upper) GROUP BY x.lower, x.upper""",
+    "path_safe_names": """SELECT event_id, 'app_' || event_type || '.' || CAST(user_id % 5 AS VARCHAR) AS name FROM events""",
 }

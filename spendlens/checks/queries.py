@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from spendlens.checks import inputs as I
 from spendlens.functions.arithmetic import safe_ratio
-from spendlens.functions.parsing import coerce_int, epoch_ms, iso_day, json_field, printed_date
+from spendlens.functions.parsing import coerce_int, epoch_ms, iso_day, json_field, path_safe, printed_date
 from spendlens.operators.ordered import with_next
 from spendlens.operators.tenants import build_catalogue
 from spendlens.operators.windows import Windows, contained_in
@@ -37,9 +37,6 @@ from spendlens.sources.store import lookup, lookup_sum, metric_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rows nested in one built profile document.
-PROFILE_ITEMS = 1024
-
 # Raw forms of the time of an event.
 PRINTED = "concat(date_format(ts, 'EEE MMM dd HH:mm:ss'), ' UTC ', date_format(ts, 'yyyy'))"
 EPOCH_MS = (
@@ -107,8 +104,7 @@ def raw_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_profiles(spark: SparkSession, d: str) -> DataFrame:
-    """User profile documents. A document nests at most PROFILE_ITEMS rows: consecutive ids
-    share a block, so the size of a group is bounded by the width of its block."""
+    """User profile documents, one per user and day."""
     return (
         I.events(spark, d)
         .selectExpr(
@@ -117,8 +113,8 @@ def raw_profiles(spark: SparkSession, d: str) -> DataFrame:
             f"{I.PLATFORM} AS platform",
             f"CAST({I.PAYMENT_SYSTEM} AS DOUBLE) AS paymentSystem",
             "event_type",
+            "CAST(ts AS DATE) AS block",
         )
-        .withColumn("block", F.floor(F.monotonically_increasing_id() / PROFILE_ITEMS))
         .groupBy(F.lit("acme").alias("company"), F.lit("main").alias("app"), "userId", "block")
         .agg(
             F.collect_list(
@@ -165,7 +161,12 @@ def metric_lookup_sum(spark, d):
 
 
 def tenant_apps(spark, d):
-    catalogue = build_catalogue(I.company_documents(spark, d), I.app_documents(spark, d))
+    companies = I.company_documents(spark, d).withColumn("apps", F.concat("apps", F.array(F.lit("bare"), F.lit("blank"))))
+    settings = I.app_documents(spark, d)
+    blank = settings.selectExpr(
+        "company", "'blank' AS app", "CAST(NULL AS ARRAY<STRING>) AS appType", "CAST(NULL AS ARRAY<INT>) AS paymentSystems"
+    )
+    catalogue = build_catalogue(companies, settings.union(blank))
     return catalogue.select(
         "company",
         "app",
@@ -199,7 +200,7 @@ def filter_window_containment(spark, d):
 
 
 def filter_window(spark, d):
-    return I.MONTH.assign(I.purchases(spark, d)).select("lower", "upper", "id", "user_id", "time")
+    return I.WEEK_2.assign(I.purchases(spark, d)).select("lower", "upper", "id", "user_id", "time")
 
 
 def filter_configured(spark, d):
@@ -257,7 +258,7 @@ def join_metrics_platform(spark, d):
         "platform",
         F.round("revenue", 6).alias("revenue"),
         "active_users",
-        F.round(safe_ratio(F.col("revenue"), F.col("active_users")), 6).alias("ratio"),
+        F.round(safe_ratio("revenue", "active_users"), 6).alias("ratio"),
     )
 
 
@@ -356,12 +357,13 @@ def count_by_user(spark, d):
 
 
 def _documents(spark, d, windows):
-    return paying_user_documents(I.purchases(spark, d), I.one_tenant(spark), windows)
+    tenant = I.one_tenant(spark)
+    return paying_user_documents(paying_user_purchases(I.purchases(spark, d), tenant, windows), tenant)
 
 
 def collect_purchases(spark, d):
     return _documents(spark, d, I.MONTH).selectExpr(
-        "user_id", "part", "size(purchases) AS n", "array_join(transform(purchases, p -> p.purchase_id), ',') AS ids"
+        "user_id", "size(purchases) AS n", "array_join(transform(purchases, p -> p.purchase_id), ',') AS ids"
     )
 
 
@@ -372,7 +374,6 @@ def paying_users(spark, d):
         "lower",
         "upper",
         "user_id",
-        "part",
         f"{ids.format('purchases')} AS ids",
         f"{ids.format(on.format(0))} AS android_ids",
         f"{ids.format(on.format(1))} AS ios_ids",
@@ -414,7 +415,7 @@ def safe_ratio_query(spark, d):
             F.count_if(F.col("event_type").isin(I.SESSION_EVENTS)).alias("sessions"),
         )
     )
-    return by_day.select("user_id", "day", F.round(safe_ratio(F.col("paid"), F.col("sessions")), 6).alias("ratio"))
+    return by_day.select("user_id", "day", F.round(safe_ratio("paid", "sessions"), 6).alias("ratio"))
 
 
 def consecutive_purchases(spark, d):
@@ -465,6 +466,63 @@ def metrics_all(spark, d):
     return _report(_daily_values(spark, d, *METRIC_NAMES))
 
 
+def tenant_metrics_all(spark, d):
+    values = metric_values(
+        I.purchases(spark, d, I.APP), I.sessions(spark, d, I.APP), I.two_tenants(spark, d), I.WEEKS, METRIC_NAMES
+    )
+    return _report(values)
+
+
+def metrics_with_missing_fields(spark, d):
+    """Every seventh event has no user."""
+    user = F.when(F.col("known"), F.col("user_id"))
+    bought = I.purchases(spark, d).withColumn("known", F.col("id").cast("long") % 7 != 0).withColumn("user_id", user)
+    return _report(
+        metric_values(bought.drop("known"), I.sessions(spark, d), I.one_tenant(spark), I.WEEKS, METRIC_NAMES)
+    )
+
+
+def journeys_from_profiles(spark, d):
+    """The two session journeys, with user profiles as the history."""
+    names = ["sessions_first_purchase", "sessions_between_purchases"]
+    values = metric_values(
+        I.purchases(spark, d), I.sessions(spark, d), I.one_tenant(spark), I.WEEKS, names, raw_profiles(spark, d)
+    )
+    return _report(values, "numerator", "denominator")
+
+
+def windows_left_closed(spark, d):
+    windows = Windows.every(I.FIRST_DAY, timedelta(days=1), 30, closed="left")
+    return windows.assign(I.events(spark, d), "ts").groupBy("lower", "upper").agg(F.count("*").alias("events"))
+
+
+def windows_listed(spark, d):
+    """Overlapping windows of different widths."""
+    bounds = tuple((I.FIRST_DAY + timedelta(days=a), I.FIRST_DAY + timedelta(days=b)) for a, b in I.LISTED)
+    bought = Windows(bounds).assign(I.purchases(spark, d))
+    return bought.groupBy("lower", "upper").agg(F.count("*").alias("purchases"), F.round(F.sum("price"), 6).alias("revenue"))
+
+
+def purchases_in_window(spark, d):
+    """Purchases of profiles inside one window, and how many each profile has (array lengths)."""
+    bought = I.WEEK_2.assign(profile_purchases(raw_profiles(spark, d)))
+    return bought.groupBy("lower", "upper", "user_id").agg(F.count("*").alias("purchases"))
+
+
+def platforms_in_order(spark, d):
+    values = metric_values(
+        I.purchases(spark, d), I.sessions(spark, d), I.one_tenant(spark), I.WEEKS, ["number_sessions"]
+    )
+    return metric_documents(values).select(
+        "lower", "upper", F.array_join(F.col("platforms.platform"), ",").alias("platforms"), "result"
+    )
+
+
+def path_safe_names(spark, d):
+    name = F.concat(F.lit("app "), F.col("event_type"), F.lit("."), F.expr("CAST(user_id % 5 AS STRING)"))
+    return I.events(spark, d).select("event_id", path_safe(name).alias("name"))
+
+
 QUERIES: dict[str, Query] = {
     # scans and sinks
     "scan_purchases": scan_purchases,
@@ -523,4 +581,12 @@ QUERIES: dict[str, Query] = {
     "backfill_revenue_daily": backfill_revenue_daily,
     "tenant_revenue": tenant_revenue,
     "metrics_all": metrics_all,
+    "tenant_metrics_all": tenant_metrics_all,
+    "metrics_with_missing_fields": metrics_with_missing_fields,
+    "journeys_from_profiles": journeys_from_profiles,
+    "windows_left_closed": windows_left_closed,
+    "windows_listed": windows_listed,
+    "purchases_in_window": purchases_in_window,
+    "platforms_in_order": platforms_in_order,
+    "path_safe_names": path_safe_names,
 }

@@ -58,19 +58,3 @@ def with_next(df: DataFrame, keys: list[str], order: list[str], slab: str = SLAB
         .withColumn("next", F.coalesce("next", "later"))
         .drop("slab", "later")
     )
-
-
-def in_parts(
-    df: DataFrame, keys: list[str], order: list[str], columns: list[str], name: str, max_items: int
-) -> DataFrame:
-    """Collect rows into one ordered array per ``keys``. A group of more than ``max_items``
-    rows is continued in further output rows (``part`` 0, 1, ...), so that no row, task or
-    array grows with the largest group."""
-    part = F.floor((F.col("ordinal") - 1) / F.lit(max_items)).cast("int")
-    item = F.struct(*dict.fromkeys([*order, *columns]))
-    return (
-        numbered(df, keys, order)
-        .withColumn("part", part)
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(item)).alias(name))
-    )

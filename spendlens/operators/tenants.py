@@ -18,14 +18,22 @@ BROADCAST_VALUES = 200_000
 
 
 def build_catalogue(companies: DataFrame, settings: DataFrame) -> DataFrame:
-    """Companies with their app lists, joined to the settings of each app."""
+    """Companies with their app lists, joined to the settings of each app. An app without settings,
+    or with null ones, has empty lists: its reports show the total only. Of several settings of one
+    app the greatest count, by platforms, then by payment systems."""
     apps = companies.select(F.col("name").alias("company"), F.explode("apps").alias("app")).distinct()
-    configured = settings.select(
+    configured = settings.groupBy(*TENANT).agg(F.max(F.struct("appType", "paymentSystems")).alias("set"))
+    known = apps.join(configured, TENANT, "left").select(
         *TENANT,
-        F.array_distinct("appType").alias("platforms"),
-        F.array_distinct("paymentSystems").alias("payment_systems"),
-    ).dropDuplicates(TENANT)
-    return apps.join(configured, TENANT)
+        F.array_distinct("set.appType").alias("platforms"),
+        F.array_distinct("set.paymentSystems").alias("payment_systems"),
+    )
+    return _without_nulls(known)
+
+
+def _without_nulls(catalogue: DataFrame) -> DataFrame:
+    lists = ("platforms", "payment_systems")
+    return catalogue.withColumns({c: F.coalesce(F.array_compact(c), F.array()) for c in lists})
 
 
 @dataclass(frozen=True)
@@ -38,7 +46,7 @@ class Tenants:
     @classmethod
     def of(cls, frame: DataFrame) -> Tenants:
         """Measure the catalogue (reading no more than the limit) and keep what was found."""
-        frame = frame.select(*TENANT, "platforms", "payment_systems")
+        frame = _without_nulls(frame.select(*TENANT, "platforms", "payment_systems"))
         values = F.size("platforms") + F.size("payment_systems")
         sizes = [row.n for row in frame.select(values.alias("n")).take(BROADCAST_ROWS + 1)]
         small = len(sizes) <= BROADCAST_ROWS and sum(sizes) <= BROADCAST_VALUES

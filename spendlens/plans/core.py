@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.operators.ordered import in_parts
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.schema import USER_KEY
 
-# Purchases held by one output row of paying_user_documents.
-DOCUMENT_ITEMS = 10_000
-
 
 def slice_purchases(purchases: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
     """Purchases of known tenants by window, on any platform, with configuration flags."""
@@ -49,20 +45,13 @@ def paying_user_purchases(purchases: DataFrame, tenants: Tenants, windows: Windo
     )
 
 
-def paying_user_documents(
-    purchases: DataFrame, tenants: Tenants, windows: Windows, max_items: int = DOCUMENT_ITEMS
-) -> DataFrame:
-    """One document per paying user and window: all purchases by time, and for every configured
-    platform the purchases on it with a configured payment system (possibly none). A user with
-    more than ``max_items`` purchases continues in further documents, ``part`` 1, 2, ..."""
-    collected = in_parts(
-        paying_user_purchases(purchases, tenants, windows),
-        USER_KEY,
-        ["time", "id"],
-        ["platform", "payment_system", "on_platform", "on_system"],
-        "items",
-        max_items,
-    )
+def paying_user_documents(rows: DataFrame, tenants: Tenants) -> DataFrame:
+    """The nested view of ``paying_user_purchases``: one document per paying user and window with
+    all purchases by time, and for every configured platform the purchases on it with a configured
+    payment system (possibly none). A document holds all purchases of its user; the rows, which
+    the store keeps, are the form for users of any size."""
+    item = F.struct("time", "id", "platform", "payment_system", "on_platform", "on_system")
+    collected = rows.groupBy(*USER_KEY).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
     def bare(item):
         return F.struct(
@@ -84,7 +73,6 @@ def paying_user_documents(
     )
     return tenants.join(collected).select(
         *USER_KEY,
-        "part",
         everything.alias("purchases"),
         F.transform(F.array_sort("platforms"), on).alias("purchases_per_platform"),
     )

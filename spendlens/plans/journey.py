@@ -79,11 +79,9 @@ def sessions_before_first(history: History, users: DataFrame, tenants: Tenants)
     # sessions, on the separate columns, then has an exchange on both sides and another one after
     # it: the form in which adaptive execution can split the partition of a large user.
     # Naming first_any in a filter keeps it in both uses, which then share one exchange.
-    wanted = (
-        _firsts_by_owner(history.purchases, tenants)
-        .join(users.select(_owner()).distinct(), "owner", "left_semi")
-        .filter(F.col("first_any").isNotNull())
-    )
+    # Only the purchases of these users are aggregated.
+    bought = history.purchases.join(users.select(*USER).distinct(), USER, "left_semi")
+    wanted = _firsts_by_owner(bought, tenants).filter(F.col("first_any").isNotNull())
     total = "array(named_struct('platform', CAST(NULL AS STRING), 'payment_system', CAST(NULL AS INT)))"
     pair = "f -> named_struct('platform', f.platform, 'payment_system', f.payment_system)"
     present = wanted.select(

@@ -19,9 +19,6 @@ from spendlens.plans.core import payers, slice_purchases, slice_sessions
 from spendlens.plans.journey import NOWHERE, History, between_purchase_measures, first_purchase_measures
 from spendlens.schema import GRAIN_KEY, KEY
 
-# Revenue is reported to a millionth of the currency unit.
-MONEY_DIGITS = 6
-
 MEASURES = [
     "configured",
     "revenue",
@@ -47,18 +44,26 @@ def _cell(platform: str, payment_system: str, **values: str) -> str:
     )
 
 
-def purchase_measures(purchases: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
+def purchase_measures(
+    purchases: DataFrame, tenants: Tenants, windows: Windows, wanted: set[str] | None = None
+) -> DataFrame:
     """Revenue and purchase counts. ``revenue`` and ``any_purchases`` take every payment system
-    on the configured platforms. ``purchases`` takes every purchase in the total, and those
-    with a configured payment system in the platform cells."""
+    on the configured platforms, with or without a user. ``purchases`` are those of paying users:
+    every one in the total, and in the platform cells those with a configured payment system;
+    they are left out, with the column of the user, if ``wanted`` is given without them."""
+    by_payers = wanted is None or "purchases" in wanted
     by_system = (
         slice_purchases(purchases, tenants, windows)
         .groupBy(*GRAIN_KEY, "on_platform", "on_system")
-        .agg(F.coalesce(F.sum("price"), F.lit(0.0)).alias("amount"), F.count("*").alias("n"))
+        .agg(
+            F.coalesce(F.sum("price"), F.lit(0.0)).alias("amount"),
+            F.count("*").alias("n"),
+            *([F.count("user_id").alias("paid")] if by_payers else []),
+        )
     )
     found = {"revenue": "IF(on_platform, amount, 0D)", "any_purchases": "IF(on_platform, n, 0L)"}
-    known = {**found, "purchases": "IF(on_system, n, 0L)"}
-    total = _cell("NULL", "NULL", **found, purchases="n")
+    known = {**found, **({"purchases": "IF(on_system, paid, 0L)"} if by_payers else {})}
+    total = _cell("NULL", "NULL", **found, **({"purchases": "paid"} if by_payers else {}))
     platform = _cell("platform", "NULL", **known)
     system = _cell("platform", "payment_system", **known)
     # A purchase off the configured platforms counts in the total only, and one without payment
@@ -71,22 +76,30 @@ def purchase_measures(purchases: DataFrame, tenants: Tenants, windows: Windows)
     return by_system.selectExpr(*KEY, f"inline({cells})")
 
 
-def session_measures(sessions: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
+def session_measures(
+    sessions: DataFrame, tenants: Tenants, windows: Windows, wanted: set[str] | None = None
+) -> DataFrame:
     """Distinct users, distinct session ids (a missing value is one of them) and session rows of
-    known users. The total adds up the platforms, so a user of two platforms counts twice."""
-    by_platform = (
-        slice_sessions(sessions, tenants, windows)
-        .filter("on_platform")
-        .groupBy(*KEY, "platform")
-        .agg(
-            (F.count_distinct("user_id") + F.max(F.col("user_id").isNull().cast("int"))).alias("active_users"),
-            (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("sessions"),
-            F.count("user_id").alias("session_rows"),
-        )
-    )
-    values = {c: c for c in ("active_users", "sessions", "session_rows")}
-    cells = f"array({_cell('NULL', 'NULL', **values)}, {_cell('platform', 'NULL', **values)})"
-    return by_platform.selectExpr(*KEY, f"inline({cells})")
+    known users, or those ``wanted``. The total adds up the platforms, so a user of two platforms
+    counts twice. Each distinct count groups by its own value first: one partial aggregate per
+    count, and none for a count that nobody asks for."""
+    sliced = slice_sessions(sessions, tenants, windows).filter("on_platform")
+    cell = [*KEY, "platform"]
+    parts = []
+    if wanted is None or wanted & {"active_users", "session_rows"}:
+        by_user = sliced.groupBy(*cell, "user_id").agg(F.count("user_id").alias("n"))
+        counted = by_user.groupBy(*cell).agg(F.count("*").alias("active_users"), F.sum("n").alias("session_rows"))
+        parts.append((counted, ("active_users", "session_rows")))
+    if wanted is None or "sessions" in wanted:
+        by_id = sliced.select(*cell, "id").distinct()
+        parts.append((by_id.groupBy(*cell).agg(F.count("*").alias("sessions")), ("sessions",)))
+
+    def both_grains(by_platform: DataFrame, names: tuple[str, ...]) -> DataFrame:
+        values = {c: c for c in names}
+        cells = f"array({_cell('NULL', 'NULL', **values)}, {_cell('platform', 'NULL', **values)})"
+        return by_platform.selectExpr(*KEY, f"inline({cells})")
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [both_grains(*p) for p in parts])
 
 
 def payer_measures(paying: DataFrame) -> DataFrame:
@@ -102,15 +115,16 @@ def measure_cells(
     sources: set[str],
     profiles: DataFrame | None = None,
     paying: DataFrame | None = None,
+    measures: set[str] | None = None,
 ) -> DataFrame:
-    """All cells with the measures of the named ``sources``; measures not asked for are 0.
-    ``paying`` is a stored result of ``payers``, where there is one."""
+    """All cells with the measures of the named ``sources``, or of these only ``measures``; others
+    are 0. ``paying`` is a stored result of ``payers``, where there is one."""
     if paying is None and not sources.isdisjoint({"payers", "first", "between"}):
         paying = payers(purchases, tenants, windows)
     history = History.of(purchases, sessions, profiles)
     plans = {
-        "purchases": lambda: purchase_measures(purchases, tenants, windows),
-        "sessions": lambda: session_measures(sessions, tenants, windows),
+        "purchases": lambda: purchase_measures(purchases, tenants, windows, measures),
+        "sessions": lambda: session_measures(sessions, tenants, windows, measures),
         "payers": lambda: payer_measures(paying),
         "first": lambda: first_purchase_measures(history, paying, tenants),
         "between": lambda: between_purchase_measures(history, paying, tenants, windows),
@@ -121,9 +135,7 @@ def measure_cells(
     present = set(rows.columns)
 
     def summed(measure: str) -> Column:
-        total = F.coalesce(F.sum(measure), F.lit(0)).cast("double")
-        # The last digits of a sum of doubles depend on the order of the partitions.
-        return F.round(total, MONEY_DIGITS) if measure == "revenue" else total
+        return F.coalesce(F.sum(measure), F.lit(0)).cast("double")
 
     return rows.groupBy(*GRAIN_KEY).agg(
         *[(summed(m) if m in present else F.lit(0.0)).alias(m) for m in MEASURES]

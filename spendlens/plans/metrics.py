@@ -6,11 +6,13 @@ platform cell (``p_`` columns) and the total cell (``t_`` columns).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from spendlens.functions.arithmetic import ratio_sql as _ratio
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.plans.measures import measure_cells
@@ -37,9 +39,6 @@ def _at_platform(measure: str) -> str:
     return _by_grain(measure, measure, f"p_{measure}")
 
 
-def _ratio(numerator: str, denominator: str) -> str:
-    """0 where the denominator is not positive."""
-    return f"CASE WHEN {denominator} > 0 THEN {numerator} / {denominator} ELSE 0D END"
 
 
 @dataclass(frozen=True)
@@ -54,6 +53,11 @@ class Metric:
     value: str | None = None
     shown: str = "configured > 0"
 
+    def measures(self) -> set[str]:
+        """The measures that the expressions name, at any grain."""
+        text = " ".join(filter(None, (self.numerator, self.denominator, self.value, self.shown)))
+        return {word.removeprefix("p_").removeprefix("t_") for word in re.findall(r"\w+", text)}
+
     def entry(self, name: str) -> str:
         value = self.value
         if value is None:
@@ -119,8 +123,9 @@ def metric_values(
     unknown = set(wanted) - set(METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
+    measures = set().union(*(METRICS[name].measures() for name in wanted))
     sources = {source for name in wanted for source in METRICS[name].sources}
-    cells = measure_cells(purchases, sessions, tenants, windows, sources, profiles, paying)
+    cells = measure_cells(purchases, sessions, tenants, windows, sources, profiles, paying, measures)
     return from_cells(cells, wanted)
 
 

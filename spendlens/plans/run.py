@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
-from spendlens.plans.core import payers, paying_user_documents, sessions_per_user
+from spendlens.plans.core import payers, paying_user_purchases, sessions_per_user
 from spendlens.plans.metrics import METRIC_NAMES, metric_values
 from spendlens.schema import WINDOW
 from spendlens.sources.store import Store
@@ -29,5 +29,5 @@ def run(
     paying = tenants.known(stored).join(windows.frame(spark), WINDOW, "left_semi")
     values = metric_values(purchases, sessions, tenants, windows, METRIC_NAMES, profiles, paying)
     store.write(values, "metric_values")
-    store.write(paying_user_documents(purchases, tenants, windows), "paying_users", keys)
+    store.write(paying_user_purchases(purchases, tenants, windows), "paying_users", keys)
     store.write(sessions_per_user(sessions, tenants, windows), "sessions_per_user", keys)

@@ -1,11 +1,15 @@
 """Result tables: written by key, so that a re-run replaces its rows, and read back by window.
 
-Metric rows live in ``<root>/metric_values``, partitioned by metric, tenant and window. The
-per-user tables live beside it, partitioned by tenant and window.
+Metric rows live in ``<root>/metric_values``, the per-user tables beside it. All are partitioned
+by window and run: the files of a run do not grow in number with the tenants or metrics, which
+are sorted columns. A run adds its files; reading takes, for each key, the rows of the newest
+run that has it. So runs for different keys or windows may write at the same time.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -33,10 +37,18 @@ def _strings(*columns: str) -> dict[str, Column]:
     return {f"{c}_edge": F.concat(F.lit("t"), _edge(c)) for c in columns}
 
 
+def _key(table: DataFrame) -> list[str]:
+    return [*KEY, "metric"] if "metric" in table.columns else KEY
+
+
 def _rows(stored: DataFrame) -> DataFrame:
+    """The rows of the newest run of each key, without the markers of empty keys."""
+    key = _key(stored)
+    newest = stored.groupBy(*key).agg(F.max("run").alias("run"))
+    stored = stored.join(newest, [*key, "run"], "left_semi")
     if "user_id" in stored.columns:
         stored = stored.filter(F.col("user_id").isNotNull())
-    return stored.drop("company_key", "app_key", "lower_edge", "upper_edge")
+    return stored.drop("run", "lower_edge", "upper_edge")
 
 
 @dataclass(frozen=True)
@@ -48,26 +60,26 @@ class Store:
         lists the keys of the run: one that has no rows (any more) gets a marker row without
         user, which replaces what an earlier run left there and which ``read`` skips.
 
-        Rows are spread by partition value before writing. ``rebalance`` lets adaptive
-        execution cut a value with very many rows into several tasks and files."""
+        Rows are spread by window before writing. ``rebalance`` lets adaptive execution join
+        small windows in a task and cut one with very many rows into several tasks and files."""
         if keys is not None:
             df = df.unionByName(keys.select(*KEY), allowMissingColumns=True)
-        by = [*(["metric"] if "metric" in df.columns else []), "company_key", "app_key", "lower_edge", "upper_edge"]
-        keyed = df.withColumns(
-            {
-                "company_key": F.concat(F.lit("c"), F.col("company")),
-                "app_key": F.concat(F.lit("a"), F.col("app")),
-                **_strings("lower", "upper"),
-            }
-        )
+        run = f"r{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        by = ["lower_edge", "upper_edge", "run"]
+        keyed = df.withColumns({**_strings("lower", "upper"), "run": F.lit(run)})
+        order = [*by, *[c for c in _key(df) if c not in ("lower", "upper")]]
         (
-            keyed.hint("rebalance", *[F.col(c) for c in by])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            keyed.hint("rebalance", F.col("lower_edge"), F.col("upper_edge"))
+            .sortWithinPartitions(*order)
+            .write.mode("append")
             .partitionBy(*by)
             .parquet(f"{self.root}/{table}")
         )
 
+    def compact(self, spark: SparkSession, table: str, target: Store) -> None:
+        """Write the current rows of a table to another store, without what runs have replaced."""
+        target.write(self.read(spark, table), table)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return _rows(spark.read.parquet(f"{self.root}/{table}"))
 

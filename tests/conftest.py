@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -66,6 +67,12 @@ def make_tenants(spark, platforms=("Android", "iOS"), systems=(1, 2)):
     return Tenants.of(frame)
 
 
+def shown(df):
+    """Rows as sorted text; the last digits of a sum of doubles depend on the order of its rows."""
+    columns = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in sorted(df.dtypes)]
+    return sorted(map(str, df.select(*columns).collect()))
+
+
 def cells(values):
     """(metric, platform, payment system) -> value"""
     return {(r.metric, r.platform, r.payment_system): r.value for r in values.collect()}

@@ -189,7 +189,7 @@ def test_small_functions(spark):
         coerce_int(F.col("n")).alias("n"),
         json_field(F.col("j"), T.StringType(), "osType").alias("j"),
         iso_day(F.col("d")).alias("d"),
-        safe_ratio(F.col("a"), F.col("b")).alias("r"),
+        safe_ratio("a", "b").alias("r"),
         path_safe(F.lit("my app")).alias("p"),
     ).collect()
     assert [tuple(r) for r in rows] == [

@@ -9,9 +9,9 @@ from conftest import cells, make_purchases, make_sessions, make_tenants
 from pyspark.sql import functions as F
 
 from spendlens.operators.intervals import interval_totals
-from spendlens.operators.ordered import in_parts, numbered, with_next
+from spendlens.operators.ordered import numbered, with_next
 from spendlens.operators.windows import Windows
-from spendlens.plans.core import payers, paying_user_documents, slice_purchases, slice_sessions
+from spendlens.plans.core import payers, paying_user_documents, paying_user_purchases, slice_purchases, slice_sessions
 from spendlens.plans.journey import History, sessions_before_first
 from spendlens.plans.metrics import metric_values
 
@@ -137,19 +137,15 @@ def test_order_within_a_user(spark):
         for u, items in ordered.items()
         for (_, id_), following in zip(items, [i for _, i in items[1:]] + [None])
     }
-    parts = in_parts(rows, ["user_id"], ["time", "id"], [], "items", 7).collect()
-    assert max(len(r["items"]) for r in parts) <= 7
-    joined = defaultdict(list)
-    for r in sorted(parts, key=lambda r: (r.user_id, r.part)):
-        joined[r.user_id] += [(i.time, i.id) for i in r["items"]]
-    assert dict(joined) == ordered
 
 
 def test_documents_of_paying_users(spark):
     bought, _ = history(6)
-    documents = paying_user_documents(make_purchases(spark, bought), make_tenants(spark), DAY, max_items=10)
+    tenants = make_tenants(spark)
+    documents = paying_user_documents(paying_user_purchases(make_purchases(spark, bought), tenants, DAY), tenants)
     found, on = defaultdict(list), defaultdict(list)
-    for r in documents.orderBy("user_id", "part").collect():
+    for r in documents.collect():
+        assert r.user_id not in found
         found[r.user_id] += [p.purchase_id for p in r.purchases]
         assert [p.platform for p in r.purchases_per_platform] == ["Android", "iOS"]
         for p in r.purchases_per_platform:

@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import SMALL, cells, make_purchases, make_sessions, make_tenants
+from conftest import SMALL, cells, make_purchases, make_sessions, make_tenants, shown
 
 from spendlens.checks import inputs as I
 from spendlens.operators import tenants as tenants_module
@@ -90,9 +90,7 @@ def test_a_large_catalogue_is_not_broadcast(spark, monkeypatch):
     large = Tenants.of(build_catalogue(I.company_documents(spark, SMALL), I.app_documents(spark, SMALL)))
     assert small.small and not large.small
     names = ["total_revenue", "purchases_per_session"]
-    one, two = (
-        sorted(map(str, metric_values(bought, visited, t, I.WEEKS, names).collect())) for t in (small, large)
-    )
+    one, two = (shown(metric_values(bought, visited, t, I.WEEKS, names)) for t in (small, large))
     assert one == two
 
 
@@ -124,3 +122,41 @@ def test_sessions_of_strangers_do_not_count(spark):
     assert found["active_users", None, None] == 1.0
     assert found["paying_users", None, None] == 0.0
     assert found["sessions_per_user", None, None] == 0.0
+    assert found["avg_purchases_user", None, None] == 0.0
+    assert found["purchases_per_session", None, None] == 0.0
+
+
+def test_purchases_without_a_user_are_nobodys(spark):
+    times = [f"2024-01-10 1{i}:00:00" for i in range(3)]
+    bought = make_purchases(spark, [(str(i), "u" if i == 0 else None, t, "iOS", 1) for i, t in enumerate(times)])
+    visits = make_sessions(spark, [("s", "u", times[0], "iOS"), ("t", "v", times[1], "iOS")])
+    day = Windows.single(datetime(2024, 1, 10), datetime(2024, 1, 11))
+    found = cells(metric_values(bought, visits, make_tenants(spark), day))
+    for cell in ((None, None), ("iOS", None), ("iOS", 1)):
+        assert found["avg_purchases_user", *cell] == 1.0
+        assert found["purchases_per_session", *cell] == 0.5
+    assert found["total_revenue", None, None] == 3.0
+
+
+def test_small_amounts_are_not_rounded_away(spark):
+    rows = [("1", "u", "2024-01-10 10:00:00", "iOS", 1, 0.1), ("2", "u", "2024-01-10 11:00:00", "iOS", 1, 0.0000004)]
+    day = Windows.single(datetime(2024, 1, 10), datetime(2024, 1, 11))
+    found = cells(metric_values(make_purchases(spark, rows), make_sessions(spark, []), make_tenants(spark), day))
+    assert found["total_revenue", None, None] == pytest.approx(0.1000004, abs=1e-12)
+
+
+def test_an_app_without_settings_shows_its_total(spark):
+    kinds = "company string, app string, platforms array<string>, payment_systems array<int>"
+    tenants = Tenants.of(spark.createDataFrame([("c", "a", None, None)], kinds))
+    bought = make_purchases(spark, [("1", "u", "2024-01-10 10:00:00", "iOS", 1)])
+    day = Windows.single(datetime(2024, 1, 10), datetime(2024, 1, 11))
+    values = metric_values(bought, make_sessions(spark, []), tenants, day, ["total_revenue", "paying_users"])
+    assert cells(values) == {("total_revenue", None, None): 0.0, ("paying_users", None, None): 1.0}
+
+
+def test_only_the_wanted_distinct_count_is_planned(inputs):
+    plan = plan_of(metric_values(*inputs, I.DAYS, ["active_users"]))
+    assert "Expand" not in plan
+    assert "yyyyMMddHH" not in plan  # the session id is not built
+    everything = plan_of(metric_values(*inputs, I.DAYS, ["active_users", "number_sessions", "sessions_per_user"]))
+    assert "Expand" not in everything and everything.count("FileScan") == 2

@@ -3,9 +3,12 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import SMALL, make_purchases, make_sessions, make_tenants
+from conftest import SMALL, make_purchases, make_sessions, make_tenants, shown
+
+from pyspark.sql import functions as F
 
 from spendlens.checks import inputs as I
+from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.plans.metrics import METRIC_NAMES, metric_values
 from spendlens.plans.run import run
@@ -23,15 +26,14 @@ def inputs(spark):
 def test_a_run_and_its_repetition(spark, inputs, tmp_path):
     store = Store(str(tmp_path / "out"))
     run(spark, *inputs, THREE_DAYS, store)
-    expected = sorted(map(str, metric_values(*inputs, THREE_DAYS).collect()))
+    expected = shown(metric_values(*inputs, THREE_DAYS))
 
     def stored(table):
-        df = store.read(spark, table)
-        return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+        return shown(store.read(spark, table))
 
     first = {t: stored(t) for t in ("metric_values", "payers", "paying_users", "sessions_per_user")}
     values = store.read(spark, "metric_values").select(*METRIC_VALUES.fieldNames())
-    assert sorted(map(str, values.collect())) == expected
+    assert shown(values) == expected
     assert {r.metric for r in values.collect()} == set(METRIC_NAMES)
 
     # another window is added, the repeated one replaces its rows
@@ -63,6 +65,31 @@ def test_a_key_without_rows_replaces_earlier_rows(spark, tmp_path):
     assert store.read(spark, "metric_values").agg({"value": "sum"}).first()[0] == 0.0
 
 
+def test_files_do_not_grow_with_tenants_and_metrics(spark, tmp_path):
+    names = ", ".join(f"('c', 'app{i}', array('Android', 'iOS'), array(1, 2))" for i in range(20))
+    tenants = Tenants.of(spark.sql(f"SELECT * FROM VALUES {names} AS t(company, app, platforms, payment_systems)"))
+    by_app = I.purchases(spark, SMALL).selectExpr("*", "CAST(user_id AS INT) % 20 AS n")
+    bought = by_app.selectExpr("'c' AS company", "concat('app', n) AS app", "id", "user_id", "price", "time", "platform", "payment_system")
+    visits = make_sessions(spark, [])
+    store, week = Store(str(tmp_path / "out")), Windows.every(datetime(2024, 1, 8), timedelta(days=1), 7)
+    values = metric_values(bought, visits, tenants, week)
+    store.write(values, "metric_values")
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) <= 7 * 4
+    one = store.metric(spark, "total_revenue", datetime(2024, 1, 8), datetime(2024, 1, 9))
+    assert one.filter("grain = 'total'").count() == 20
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(lower_edge" in plan
+
+    # one metric of one window and tenant is replaced, all else stays
+    part = values.filter("metric = 'total_revenue' AND app = 'app3' AND lower = TIMESTAMP_NTZ'2024-01-08'")
+    store.write(part.withColumn("value", F.lit(-1.0)), "metric_values")
+    found = store.read(spark, "metric_values")
+    assert found.count() == values.count()
+    assert {r.app for r in found.filter("value = -1").collect()} == {"app3"}
+    store.compact(spark, "metric_values", Store(str(tmp_path / "small")))
+    assert Store(str(tmp_path / "small")).read(spark, "metric_values").count() == values.count()
+
+
 def test_nested_documents(spark):
     bought = make_purchases(
         spark,
