@@ -31,9 +31,9 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def own_columns(frame: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Only the named columns, so that others cannot clash with derived ones."""
-    return frame.select(*names)
+def packed_columns(frame: DataFrame, without: Iterable[str] = ()) -> Column:
+    """The columns of a frame as one, `_row`, so that none can clash with derived ones."""
+    return F.struct(*[F.col(f"`{c}`") for c in frame.columns if c not in without]).alias("_row")
 
 
 def id_hash_mod(column: str, n: int) -> Column:

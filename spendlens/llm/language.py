@@ -122,14 +122,15 @@ def fit_languages(
 
 
 def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
-    """Adds (lang_pred string, score double) to (doc_id, text, ...) and drops the text; other
-    columns pass through. Only the text decides.
+    """Adds (lang_pred string, score double) to (text, ...) and drops the text; other columns
+    pass through, those of the two names are replaced. Only the text decides.
 
     score is the posterior of the predicted language, the evidence scaled to one log ratio per
     character, as n-grams of a text are not independent. A null text, one without a letter, or an
     empty model gives `und` with score 0. Equal posteriors give the first language by name."""
     spark = documents.sparkSession
     held = spark.sparkContext.broadcast(model)
+    documents = documents.select(*[c for c in documents.columns if c not in ("lang_pred", "score")])
     kept = [c for c in documents.columns if c != "text"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

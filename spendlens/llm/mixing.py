@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spendlens.llm.common import packed_columns
+
 #: Sources at most: they are the columns of the schedule of one period, which is broadcast.
 MAX_SOURCES = 1_000
 #: Documents of a source that are numbered together.
@@ -91,8 +93,9 @@ def mix_sources(documents: DataFrame, weights: DataFrame | None = None, block_ro
     Numbering is done in runs of some thousand rows, whose starts are summed, so that a source that
     holds most documents is spread over the cluster; nothing is sorted as a whole."""
     made = ("block", "place", "slot", "position", "release", "deadline", "in_balance")
-    frame = documents.select(*[c for c in documents.columns if c not in made])
-    frame = frame.withColumn("source", F.coalesce("source", F.lit("")))
+    others = [c for c in documents.columns if c not in (*made, "doc_id", "source")]
+    row = packed_columns(documents, (*made, "doc_id", "source"))
+    frame = documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), *([row] if others else []))
     weights = root_weights(frame) if weights is None else weights
     sizes = frame.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
     weighted = sizes.join(weights.filter("weight > 0").select("source", "weight"), "source", "left")
@@ -138,7 +141,7 @@ def mix_sources(documents: DataFrame, weights: DataFrame | None = None, block_ro
           0L, (total, n) -> total + n)
     """
     return timed.select(
-        *frame.columns,
+        *["_row." + f"`{c}`" if c in others else c for c in documents.columns if c not in made],
         "block",
         "place",
         F.expr("_cycle * _period + _slot").alias("slot"),

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import stored
+from spendlens.llm.common import packed_columns, stored
 from spendlens.llm.neardup import map_groups
 from spendlens.llm.text import mix, prefix_hashes, slices, span_hashes
 
@@ -347,18 +347,17 @@ def _counted_hits(pieces: DataFrame, length: int) -> DataFrame:
 def remove_repeats(documents: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
     """Adds kept binary, n_bytes, n_removed and n_spans long to documents (doc_id, text, ...): the
     UTF-8 bytes of the text that no string of `length` bytes covers that also starts anywhere else,
-    in this text or another, and the bytes, removed bytes and maximal removed runs.
+    in this text or another, and the numbers of bytes, removed bytes and maximal removed runs.
 
     Strings are judged on the input; occurrences may overlap and never cross texts. All copies of a
     repeated string go. A null text counts as the empty one, repeated rows as copies. Other columns
-    pass through; columns of the four names are replaced. `gram` only decides how suffixes are
+    pass through, but for the text; columns of the four names are replaced. `gram` only decides how suffixes are
     dealt to tasks."""
     made = ("kept", "n_bytes", "n_removed", "n_spans")
-    frame = documents.select(*[c for c in documents.columns if c not in made])
-    keyed = _keyed(frame.withColumn("text", F.coalesce("text", F.lit(""))))
+    row = packed_columns(documents, (*made, "text"))
+    keyed = _keyed(documents.select(row, "doc_id", F.coalesce("text", F.lit("")).alias("text")))
     spans = repeated_spans(keyed, length, gram)
     joined = _packed(keyed).hint("merge").join(spans, ["_id", "_hash"], "left")
-    names = [c for c in frame.columns if c != "text"]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -381,11 +380,12 @@ def remove_repeats(documents: DataFrame, length: int = 200, gram: int = 64) -> D
                 kept.append(b"".join(parts))
                 counts.append((len(text), removed, runs))
             sums = np.array(counts, np.int64).reshape(-1, 3).T
-            columns = [batch.column(c) for c in names] + [pa.array(kept, pa.binary()), *map(pa.array, sums)]
-            yield pa.RecordBatch.from_arrays(columns, [*names, *made])
+            columns = [batch.column("_row"), pa.array(kept, pa.binary()), *map(pa.array, sums)]
+            yield pa.RecordBatch.from_arrays(columns, ["_row", *made])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.select(*names).schema)
-    return joined.select(*names, "text", "spans").mapInArrow(finish, f"{fields}kept binary, n_bytes long, n_removed long, n_spans long")
+    rows = joined.select("_row", "text", "spans")
+    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long"
+    return rows.mapInArrow(finish, schema).select("_row.*", *made)
 
 
 def kept_text(cut: DataFrame) -> DataFrame:
