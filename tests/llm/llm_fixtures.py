@@ -1,11 +1,10 @@
-import sys
-from pathlib import Path
+"""Fixtures of the tests in this folder, which import them."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+from spendlens.llm.common import ship_package
 
-from spendlens.llm.common import ship_package  # noqa: E402
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from llm_fixtures import llm, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from spendlens.llm import decontamination, lattice, neardup, suffixes
