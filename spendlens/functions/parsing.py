@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 PRINTED_DATE_PATTERNS = ["MMM d HH:mm:ss z yyyy", "MMM d HH:mm:ss xx yyyy"]
 WEEKDAY_PREFIX = r"^\s*\p{Alpha}+\s+"
 
-# Last millisecond of the year 9999, the largest time Spark can print.
+# The years 1 to 9999, which a timestamp holds, in milliseconds.
+MIN_EPOCH_MS = -62135596800000
 MAX_EPOCH_MS = 253402300799999
 
 
@@ -49,7 +50,7 @@ def printed_date(text: Column) -> Column:
 def epoch_ms(value: Column) -> Column:
     """Epoch milliseconds, as a number or as its text (``1.4204124E12``)."""
     millis = value.try_cast("double").try_cast("bigint")
-    in_range = F.abs(millis) <= F.lit(MAX_EPOCH_MS)
+    in_range = millis.between(F.lit(MIN_EPOCH_MS), F.lit(MAX_EPOCH_MS))
     return F.when(in_range, _since_epoch(millis.cast("decimal(20,0)") / F.lit(1000)))
 
 

@@ -50,6 +50,11 @@ def normalize_sessions(raw: DataFrame, company: str | None = None, app: str | No
     ).filter(F.col("time").isNotNull() & F.col("platform").isNotNull())
 
 
+def normalize_profiles(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
+    """User profiles with the columns of their tenant, the form that the journeys take."""
+    return raw.select(*_tenant(raw, company, app), "userId", "purchases", "sessions")
+
+
 def profile_purchases(profiles: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
     """One row per purchase nested in a user profile."""
     return (
