@@ -18,6 +18,8 @@ from spendlens.llm.text import mix, prefix_hashes, slices, span_hashes
 PERIOD = 32
 #: Bytes of candidate text that are sorted at once; bounds the memory of a task.
 SORT_BYTES = 1 << 20
+#: Suffixes of a bucket, but for those that share their first two bytes.
+BUCKET = 1 << 16
 #: Distinct pieces of a sync group up to which its suffixes are sorted together, in one task.
 GROUP_PIECES = 16_384
 #: Windows of a run at most.
@@ -92,23 +94,29 @@ class SuffixRanks:
             return suffixes
         at, group = suffixes[tied], tie[tied]
         residue = at % self.period
-        # Place in the tie: how many of each residue class, shifted to the cover, come before.
+        # A tie of one residue class: the rank of the next sample position orders it.
+        key = self.rank[at + self.shift[residue, residue]]
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        mixed = np.minimum.reduceat(residue, first) != np.maximum.reduceat(residue, first)
+        mixed = np.flatnonzero(np.repeat(mixed, np.diff(np.append(first, len(at)))))
+        if len(mixed):
+            key[mixed] = self._places(at[mixed], group[mixed], residue[mixed])
+        suffixes[tied] = at[np.argsort((group << 32) | key, kind="stable")]
+        return suffixes
+
+    def _places(self, at: np.ndarray, group: np.ndarray, residue: np.ndarray) -> np.ndarray:
+        """The place of each suffix in its tie: how many of each residue class come before it,
+        compared by the ranks of the sample positions that both classes reach at one distance."""
         before = np.zeros(len(at), np.int64)
-        present = np.unique(residue)
-        key = np.zeros(len(at), np.int64)
-        for b in present:
-            other = np.flatnonzero(residue == b)
-            for a in present:
-                own = np.flatnonzero(residue == a)
+        members = {r: np.flatnonzero(residue == r) for r in np.unique(residue).tolist()}
+        for b, other in members.items():
+            for a, own in members.items():
                 shift = self.shift[a, b]
-                theirs = (group[other] << 32) | self.rank[at[other] + shift]
-                mine = (group[own] << 32) | self.rank[at[own] + shift]
-                theirs.sort()
-                low = np.searchsorted(theirs, group[own] << 32)
-                before[own] += np.searchsorted(theirs, mine) - low
-        key = (group << 32) | before
-        suffixes[tied] = at[np.argsort(key, kind="stable")]
-        return suffixes
+                theirs = np.sort((group[other] << 32) | self.rank[at[other] + shift])
+                mine = group[own] << 32
+                low = np.searchsorted(theirs, mine)
+                before[own] += np.searchsorted(theirs, mine | self.rank[at[own] + shift]) - low
+        return before
 
     def same_as_next(self, suffixes: np.ndarray, length: int) -> np.ndarray:
         """Whether each sorted suffix and the next share `length` bytes; the last is false."""
@@ -122,25 +130,31 @@ class SuffixRanks:
         return same
 
 
-def repeated_starts(pieces: list[bytes], windows: list[int], copies: np.ndarray, length: int) -> list[np.ndarray]:
+def repeated_starts(
+    pieces: list[bytes], windows: list[int], copies: np.ndarray, length: int, anchors: np.ndarray | None = None
+) -> list[np.ndarray]:
     """For each piece, which of its first `windows` suffixes share their first `length` bytes with
-    another suffix, or stand in a piece with copies. The suffixes are put into buckets by their
-    first two bytes and sorted one bucket at a time."""
-    # Every piece starts on a multiple of the period, behind a gap.
-    sizes = np.array([-(-(len(p) + 1) // PERIOD) * PERIOD for p in pieces])
-    starts = np.append(0, np.cumsum(sizes))
-    data = np.zeros(starts[-1], np.uint8)
-    for start, piece in zip(starts.tolist(), pieces, strict=False):
-        data[start : start + len(piece)] = np.frombuffer(piece, np.uint8)
+    another suffix, or stand in a piece with copies. The suffixes are put into buckets of about
+    BUCKET, by ranges of the first two bytes, and sorted one bucket at a time. `anchors`, a place in each piece that equal strings
+    have in common, only saves time: pieces are laid so that equal suffixes are of one residue."""
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    lead = (PERIOD - (anchors % PERIOD)) % PERIOD if anchors is not None else np.zeros(len(pieces), np.int64)
+    room = -(-(lead + sizes + 1) // PERIOD) * PERIOD  # with a gap behind each piece
+    starts = np.cumsum(room) - room + lead
+    data = np.zeros(room.sum(), np.uint8)
+    flat = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    data[flat] = np.frombuffer(b"".join(pieces), np.uint8)
     ranks = SuffixRanks(data, length)
     counts = np.array(windows)
     of = np.repeat(np.arange(len(pieces)), counts)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
     suffixes = starts[of] + nth
     found = np.zeros(len(data) + 1, bool)
-    bucket = (ranks.words[suffixes] >> np.uint64(48)).astype(np.int64)
+    head = (ranks.words[suffixes] >> np.uint64(48)).astype(np.int64)
+    upto = np.cumsum(np.bincount(head, minlength=1 << 16))
+    bucket = (upto // BUCKET)[head]
     order = np.argsort(bucket, kind="stable")
-    edges = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)), len(order))
+    edges = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         if b - a < 2:
             continue
@@ -275,10 +289,10 @@ def repeated_spans(documents: DataFrame, length: int = 200, gram: int = 64) -> D
     matched = _packed(texts).hint("merge").join(wanted, ["_id", "_hash"])
     pieces = matched.mapInArrow(extract, "sync long, body long, copies long, n long, large boolean, piece binary")
     if large.isEmpty():
-        found = _sorted_hits(pieces.drop("large"), length)
+        found = _sorted_hits(pieces.drop("large"), length, gram)
     else:
         pieces = stored(pieces, "pieces")
-        found = _sorted_hits(pieces.filter("NOT large").drop("large"), length).unionByName(
+        found = _sorted_hits(pieces.filter("NOT large").drop("large"), length, gram).unionByName(
             _counted_hits(pieces.filter("large").drop("large"), length)
         )
     spans = live.join(found.hint("merge"), ["sync", "body"]).select(
@@ -300,7 +314,18 @@ def _covered(hits: np.ndarray, length: int) -> list[dict[str, int]]:
     return [{"start": int(a), "stop": int(b) + length} for a, b in zip(at[np.append(0, gap + 1)], at[np.append(gap, len(at) - 1)], strict=True)]
 
 
-def _sorted_hits(pieces: DataFrame, length: int) -> DataFrame:
+def _anchors(pieces: list[bytes], syncs: np.ndarray, gram: int) -> np.ndarray:
+    """Where the sync gram of each piece first stands in it."""
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    first = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    at = np.arange(len(data) - gram + 1)
+    hashes = span_hashes(prefix_hashes(data, False), at, at + gram)
+    hit = np.flatnonzero(hashes == np.repeat(syncs, sizes)[: len(at)])
+    return hit[np.searchsorted(hit, first)] - first
+
+
+def _sorted_hits(pieces: DataFrame, length: int, gram: int) -> DataFrame:
     def work(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for group in groups:
@@ -314,7 +339,9 @@ def _sorted_hits(pieces: DataFrame, length: int) -> DataFrame:
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         texts = table.column("piece").to_pylist()
-        hits = repeated_starts(texts, table.column("n").to_pylist(), np.asarray(table.column("copies")), length)
+        anchors = _anchors(texts, np.asarray(table.column("sync")).view(np.uint64), gram)
+        windows, copies = table.column("n").to_pylist(), np.asarray(table.column("copies"))
+        hits = repeated_starts(texts, windows, copies, length, anchors)
         spans = pa.array([_covered(h, length) for h in hits], pa.list_(_SPAN))
         keys = [table.column(c).combine_chunks() for c in ("sync", "body")]
         return pa.RecordBatch.from_arrays([*keys, spans], ["sync", "body", "hits"])
