@@ -211,8 +211,8 @@ def score_texts(
     is the weight of the segmentations, so that the words' probabilities sum to one. The text ends
     after each word with the share of ends among the training tokens.
 
-    Every distinct word is segmented once. The scores of the `frequent` most frequent words are
-    broadcast; the other words of each text are joined with the table of words by hash."""
+    Every distinct word is segmented once. The scores of the most frequent words, `frequent` of them
+    at most, are broadcast; the other words of each text are joined with the table of words by hash."""
     spark = documents.sparkSession
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.coalesce("train", F.lit(False)).alias("train"))
     counts = stored(word_counts(docs), "word-counts")
@@ -239,7 +239,15 @@ def score_texts(
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "n", "n_all", "score"])
 
     table = stored(counts.mapInArrow(segment, "word long, n long, n_all long, score double"), "word-scores")
-    top = table.orderBy(F.desc("n_all"), "word").limit(frequent).select("word", "n", "score").toPandas()
+    # Words by eighths of a power of two of their count, as many classes from the top as have room.
+    size = F.floor(F.log2(F.col("n_all").cast("double")) * 8).cast("int")
+    room, least = frequent, None
+    for row in table.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["size"]
+    top = table.filter(size >= least if least is not None else F.lit(False)).select("word", "n", "score").toPandas()
     top = top.assign(word=top["word"].to_numpy(np.int64).view(np.uint64)).sort_values("word")
     known = spark.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("word", "n", "score")))
 
