@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import packed_columns
+from spendlens.llm.common import packed_columns, stored
 from spendlens.llm.text import SPACED, Words, distinct_within, slices
 
 _CLASSES = [
@@ -188,7 +188,8 @@ def hierarchical_quality(scored: DataFrame) -> DataFrame:
     evidence, ...): quality is the probability by the text with the path's posterior in place of
     the common prior; keep is quality of a half or more. Columns of these names are replaced."""
     made = ("n_path", "path_posterior", "n_host", "host_posterior", "prior", "quality", "keep")
-    frame = scored.select("host", "path", "evidence", packed_columns(scored, made))
+    # Read several times below; the texts that it comes from are read once.
+    frame = stored(scored.select("host", "path", "evidence", packed_columns(scored, made)), "evidence")
     sites = site_posteriors(frame).withColumnsRenamed({"host": "_host", "path": "_path"})
     joined = frame.join(sites, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
     logit = _logit(F.col("evidence")) + _logit(F.col("path_posterior")) - _logit(F.col("prior"))
