@@ -11,8 +11,8 @@ import pytest
 from llm_fixtures import llm, words  # noqa: F401
 from pyspark.sql import functions as F
 
-from spendlens.llm import decontamination, lattice, neardup, suffixes
-from spendlens.llm.common import components, id_hash_mod
+from spendlens.llm import decontamination, lattice, mixing, neardup, suffixes
+from spendlens.llm.common import components, id_hash_mod, stored
 from spendlens.llm.decontamination import find_benchmark, items_digest
 from spendlens.llm.language import fit_languages, predict_languages
 from spendlens.llm.lattice import lattice_log_probability, load_pieces, score_texts
@@ -139,6 +139,50 @@ def test_mix_refuses_sources_without_weight_and_takes_empty_tables(llm):
     assert mix_sources(docs(llm, [])).count() == 0
 
 
+def test_root_weights_are_proportional_for_any_number_of_sources(llm):
+    for n, period in ((20, 1000), (200, 2000), (900, 9000)):
+        sizes = llm.range(n).select(F.col("id").cast("string").alias("source"), F.when(F.col("id") == 0, n * 8).otherwise(16).alias("k"))
+        rows = sizes.withColumn("k", F.explode(F.sequence(F.lit(1), "k"))).union(llm.createDataFrame([("tiny", 1)], "source string, k int"))
+        weights = {r.source: r.weight for r in root_weights(rows).collect()}
+        period = 1000 * -(-(n + 1) // 100)
+        roots = {str(i): (n * 8 if i == 0 else 16) ** 0.5 for i in range(n)} | {"tiny": 1.0}
+        total = sum(roots.values())
+        assert sum(weights.values()) == period
+        assert all(abs(w - period * roots[s] / total) < 1 for s, w in weights.items())
+    # 1 is a minimum that takes nothing from the proportions of the others
+    rows = llm.range(400_000).select(F.when(F.col("id") < 5, F.col("id").cast("string")).otherwise("big").alias("source"))
+    weights = {r.source: r.weight for r in root_weights(rows, 100).collect()}
+    assert weights == {"big": 95, **dict.fromkeys("01234", 1)}
+
+
+def test_pfair_slots_are_those_of_the_period(llm, monkeypatch):
+    monkeypatch.setattr(mixing, "SPAN", 13)
+    monkeypatch.setattr(mixing, "STEP", 5)
+    weights = llm.createDataFrame([("d", 5), ("a", 7), ("b", 1), ("c", 5), ("e", 2), ("f", 5), ("z", 0)], "source string, weight int")
+    expected = {(r.source, r.nth, r.slot, r.period) for r in pfair_period(weights).collect()}
+    assert {tuple(r) for r in mixing.pfair_slots(weights).collect()} == expected
+    assert len(expected) == 25
+
+
+@pytest.mark.parametrize("broadcast", [0, 250_000])
+def test_mix_of_more_than_a_thousand_sources(llm, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_BLOCKS", broadcast)
+    monkeypatch.setattr(mixing, "_RUN_SLOTS", 64)
+    n = 1_100
+    sizes = llm.range(n).select(F.col("id").cast("string").alias("source"), (F.lit(1) + F.col("id") % 7 + F.when(F.col("id") == 0, 600).otherwise(0)).cast("int").alias("k"))
+    rows = stored(sizes.select("source", F.explode(F.sequence(F.lit(1), "k")).alias("k")).select(F.xxhash64("source", "k").alias("doc_id"), "source"), "many")
+    weights = {r.source: r.weight for r in root_weights(rows).collect()}
+    found = sorted(mix_sources(rows, block_rows=4).collect(), key=lambda r: r.position)
+    assert Counter((r.doc_id, r.source) for r in found) == Counter(tuple(r) for r in rows.collect())
+    assert [r.position for r in found] == list(range(len(found)))
+    assert [r.slot for r in found] == sorted(r.slot for r in found)
+    period = sum(weights.values())
+    for r in found:
+        assert r.release <= r.slot < r.deadline
+        assert (r.release, r.deadline) == (r.block * period // weights[r.source], -(-(r.block + 1) * period // weights[r.source]))
+    assert len({(r.source, r.block) for r in found}) == len({r.slot for r in found})
+
+
 # 3: quality
 
 
