@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from spendlens.llm.common import stored  # noqa: E402
+from spendlens.llm.common import packed_columns, stored  # noqa: E402
 from spendlens.llm.decontamination import find_benchmark  # noqa: E402
 from spendlens.llm.mixing import mix_sources  # noqa: E402
 from spendlens.llm.neardup import near_duplicates  # noqa: E402
@@ -32,12 +32,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates: five-word shingles,
-    a similarity of 0.8 or more. Documents without words or id stay; rows of one id stay or go
-    together."""
+    """One row, that of the smallest id, of each group of near duplicates: five-word shingles, a
+    similarity of 0.8 or more. Documents without words stay. Rows are compared by a key of their
+    own, so of those with one id or without an id also one stays; a null id comes last."""
     table(spark, sf_dir, "documents")
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    keyed = stored(docs.select(F.monotonically_increasing_id().alias("_key"), packed_columns(docs)), "keyed")
+    marks = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "_row.text"))
+    groups = stored(marks.select(F.col("doc_id").alias("_key"), "component_id"), "groups")
+    grouped = groups.groupBy("component_id").count().filter("count > 1").select("component_id")
+    members = groups.join(grouped, "component_id").join(keyed.select("_key", F.col("_row.doc_id").alias("id")), "_key")
+    order = F.struct(F.col("id").isNull(), "id", "_key")
+    stays = members.groupBy("component_id").agg(F.min(order)["_key"].alias("stays"))
+    gone = members.join(stays, "component_id").filter("_key <> stays").select("_key")
+    return keyed.join(gone.hint("merge"), "_key", "left_anti").select("_row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

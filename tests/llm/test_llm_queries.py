@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_fixtures import SMALL, llm  # noqa: F401
+from llm_fixtures import SMALL, llm, words  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -101,3 +101,16 @@ def test_pipeline_stages_take_empty_and_null_documents(llm):
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(llm, docs, SMALL), "test")
             assert docs.count() == len(given)
+
+
+def test_pipeline_keeps_one_of_repeated_rows_and_null_ids(llm, words):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, _key string"
+    a, b, c, d, e = (words(seed, 120, 4000) for seed in range(1, 6))
+    given = [(7, a), (7, a), (7, a), (None, b), (9, b), (None, c), (None, c), (3, d), (3, e), (5, e), (4, ""), (4, ""), (None, None)]
+    docs = llm.createDataFrame([(i, t, "en", "s", len(t or ""), "x") for i, t in given], kinds).repartition(3)
+    once = stored(corpus_pipeline.drop_near_duplicates(llm, docs, SMALL), "once")
+    assert once.columns == docs.columns and {r._key for r in once.collect()} == {"x"}
+    expected = Counter([(7, a), (9, b), (None, c), (3, d), (3, e), (4, ""), (4, ""), (None, None)])
+    assert Counter((r.doc_id, r.text) for r in once.collect()) == expected
+    cut = corpus_pipeline.cut_repeats(llm, once, SMALL)
+    assert Counter((r.doc_id, r.text or None) for r in cut.collect()) == Counter({(i, t or None): n for (i, t), n in expected.items()})
