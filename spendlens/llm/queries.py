@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,14 @@ from spendlens.llm.lattice import VOCABULARY, score_texts
 from spendlens.llm.mixing import mix_sources
 from spendlens.llm.neardup import near_duplicates
 from spendlens.llm.oracles import ORACLES
+from spendlens.llm.packing import Limits, documents_as_examples, pack_examples
 from spendlens.llm.paragraphs import removal_summary, repeated_paragraphs
+from spendlens.llm.periodic import periodic_runs
 from spendlens.llm.quality import fit_quality, hierarchical_quality, score_documents
 from spendlens.llm.similarity import similar_vectors
 from spendlens.llm.suffixes import remove_repeats
 from spendlens.llm.toxicity import fit_severity, score_severity
+from spendlens.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +115,63 @@ def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per vector and component. A deviation beyond a long is null; `deviation_exact` has it."""
+    found = whiten(table(spark, sf_dir, "embeddings"), n_components=16, scale=64, offset=1_000_000)
+    per_component = found.select("*", F.posexplode(F.arrays_zip("whitened", "explained", "eigenvalues")).alias("at", "_c"))
+    return per_component.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        F.col("_c.whitened").alias("whitened"),
+        F.col("_c.explained").alias("explained"),
+        "identity_error",
+        F.col("_c.eigenvalues").alias("eigenvalue"),
+        F.col("deviation").alias("deviation_exact"),
+    )
+
+
+def planted_repetition(doc_id: object, n: int) -> np.ndarray | None:
+    """The words of one document in ten repeat with a period from a place on, both drawn by its id."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(table(spark, sf_dir, "documents"), min_length=6, min_exponent=4, edit=planted_repetition)
+    # Runs come by start and period, so the first one of the greatest exponent wins.
+    best = F.expr(
+        "aggregate(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>),"
+        " (b, r) -> IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda text: F.concat(text, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("best.length * 1000 DIV best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    examples = documents_as_examples(table(spark, sf_dir, "documents"))
+    pieces = pack_examples(examples, Limits(tokens=2048, segments=128, loss=2048))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_epsilon_grid": op1_epsilon_grid,
     "op2_pfair_mix": op2_pfair_mix,
@@ -121,6 +183,9 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_suffixes": op9_suffixes,
     "op10_paragraphs": op10_paragraphs,
+    "op11_whitening": op11_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -83,9 +83,10 @@ def slices(texts: Iterable[bytes | None], limit: int = SLICE_BYTES) -> Iterator[
 
 
 class Words:
-    """The words of some texts: their places in `data`, their hashes and the words of each text."""
+    """The words of some texts: their places in `data`, their hashes (of the words in lower case, unless
+    told otherwise) and the words of each text."""
 
-    def __init__(self, texts: list[bytes], table: np.ndarray) -> None:
+    def __init__(self, texts: list[bytes], table: np.ndarray, lower: bool = True) -> None:
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         self.text_starts = np.zeros(len(texts), np.int64)
@@ -94,7 +95,7 @@ class Words:
         flags[1:] = table[self.data]
         edges = np.flatnonzero(np.diff(flags))
         self.starts, self.ends = edges[0::2], edges[1::2]
-        self.hashes = span_hashes(prefix_hashes(self.data, True), self.starts, self.ends)
+        self.hashes = span_hashes(prefix_hashes(self.data, lower), self.starts, self.ends)
         #: Words [bounds[i], bounds[i + 1]) belong to text i.
         self.bounds = np.append(np.searchsorted(self.starts, self.text_starts), len(self.starts))
         self.counts = np.diff(self.bounds)
