@@ -22,7 +22,8 @@ def interval_totals(
     """Sessions with ``t_i <= time <= t_{i+1}`` over consecutive purchase times, summed.
 
     ``purchases`` has ``keys``, time, platform, payment_system, on_platform and on_system;
-    ``sessions`` has ``keys``, time, platform and on_platform. ``keys`` ends in the user.
+    ``sessions`` has ``keys``, time, platform, on_platform and, where a row stands for
+    several sessions, their number n. ``keys`` ends in the user.
 
     One result row per user and series: the total series (platform and payment_system null)
     takes everything; a platform series the purchases and sessions on a configured platform;
@@ -35,9 +36,10 @@ def interval_totals(
     slabs are completed from one summary row per slab.
     """
     columns = [*keys, "time", "platform"]
-    bought = purchases.selectExpr(*columns, "on_platform", "payment_system", "on_system", "0 AS session")
+    bought = purchases.selectExpr(*columns, "on_platform", "payment_system", "on_system", "0L AS session")
+    count = "n" if "n" in sessions.columns else "1L"
     visited = sessions.selectExpr(
-        *columns, "on_platform", "CAST(NULL AS INT) AS payment_system", "false AS on_system", "1 AS session"
+        *columns, "on_platform", "CAST(NULL AS INT) AS payment_system", "false AS on_system", f"{count} AS session"
     )
     # The explicit exchange keeps the slab in the partitioning even where the inputs arrive
     # already partitioned by user; everything down to the slab summary then stays local.
@@ -80,7 +82,7 @@ def _summarise(events: DataFrame, keys: list[str]) -> DataFrame:
     )
     return paired.groupBy(*keys, "slab", "scope", "system").agg(
         F.expr("sum(session)").alias("sessions"),
-        F.expr("sum(1 - session)").alias("purchases"),
+        F.expr("count_if(session = 0)").alias("purchases"),
         F.expr("count(between_pair)").alias("pairs"),
         F.expr("coalesce(sum(between_pair), 0L)").alias("raw"),
         F.expr(f"coalesce(sum({adjusted('between_pair')}), 0L)").alias("adjusted"),

@@ -3,6 +3,8 @@ rows to them. All windows of a run are computed in one pass over the data."""
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
@@ -15,7 +17,7 @@ from spendlens.functions.parsing import ntz_literal
 EPOCH = datetime(1970, 1, 1)
 MICROSECOND = timedelta(microseconds=1)
 
-# A windows table above this many (day, window) rows is not broadcast.
+# A table of days, or of pieces and their windows, above this many rows is not broadcast.
 BROADCAST_ROWS = 100_000
 
 
@@ -132,20 +134,53 @@ class Windows:
         return df.selectExpr("*", f"lower + {interval} AS upper").filter("upper IS NOT NULL")
 
     def _assign_listed(self, df: DataFrame, column: str) -> DataFrame:
-        """Any other windows: an equi join on the day, against one row per window and day."""
-        days = sum((upper.date() - lower.date()).days + 1 for lower, upper in self.bounds)
-        table = self.frame(df.sparkSession).selectExpr(
-            "explode(sequence(CAST(lower AS DATE), CAST(upper AS DATE))) AS _day", "lower", "upper"
-        )
-        if days <= BROADCAST_ROWS:
-            table = F.broadcast(table)
-        moment = F.col(column)
-        return (
-            df.withColumn("_day", moment.cast("date"))
-            .join(table, "_day")
-            .filter((moment >= F.col("lower")) & self._before(moment, F.col("upper")))
-            .drop("_day")
-        )
+        return self.expand(self.locate(df, column))
+
+    @property
+    def listed(self) -> bool:
+        """Whether a row may lie in windows that arithmetic on its time cannot tell."""
+        return len(self.bounds) > 1 and self.step is None
+
+    def edges(self) -> list[datetime]:
+        return sorted({edge for bounds in self.bounds for edge in bounds})
+
+    def locate(self, df: DataFrame, column: str = "time") -> DataFrame:
+        """Add ``piece``, the number of the elementary interval that holds the row: 2k is the edge k
+        itself, 2k + 1 the open interval after it. However many windows overlap, a row has one
+        piece. It is found among the edges of its own day, a table of one row per day."""
+        by_day = defaultdict(list)
+        for edge in self.edges():
+            by_day[edge.date()].append(edge)
+        start, rows, before = self.first.date(), [], 0
+        for n in range((self.last.date() - start).days + 1):
+            day = start + timedelta(days=n)
+            rows.append((day, before, by_day.get(day, [])))
+            before += len(rows[-1][2])
+        kinds = "_day date, _before int, _edges array<timestamp_ntz>"
+        days = df.sparkSession.createDataFrame(rows, kinds)
+        days = F.broadcast(days) if len(rows) <= BROADCAST_ROWS else days
+        passed = f"_before + size(filter(_edges, e -> e <= {column}))"
+        piece = f"2 * ({passed}) - IF(array_contains(_edges, {column}), 2, 1) AS piece"
+        covered = self.cover(df, column).withColumn("_day", F.col(column).cast("date"))
+        return covered.join(days, "_day").selectExpr(*[f"`{c}`" for c in df.columns], piece)
+
+    def members(self, spark: SparkSession) -> tuple[DataFrame, int]:
+        """(piece, lower, upper): the pieces that each window consists of, and their number."""
+        edges = self.edges()
+        rows, count = [], 0
+        for lower, upper in self.bounds:
+            first, last = 2 * bisect_left(edges, lower), 2 * bisect_left(edges, upper)
+            last -= self.closed == "left"
+            if first <= last:
+                rows.append((lower, upper, first, last))
+                count += last - first + 1
+        frame = spark.createDataFrame(rows, "lower timestamp_ntz, upper timestamp_ntz, _first int, _last int")
+        return frame.selectExpr("explode(sequence(_first, _last)) AS piece", "lower", "upper"), count
+
+    def expand(self, df: DataFrame) -> DataFrame:
+        """From ``piece`` to ``lower`` and ``upper``: one output row per window that the piece is in."""
+        table, count = self.members(df.sparkSession)
+        return df.join(F.broadcast(table) if count <= BROADCAST_ROWS else table, "piece").drop("piece")
 
 
 def contained_in(df: DataFrame, start: datetime, end: datetime) -> DataFrame:

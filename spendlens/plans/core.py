@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.operators.ordered import numbered
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
+from spendlens.plans.cubes import BY_USER, USER, by_window, session_cube, sessions_per_user_of
 from spendlens.schema import USER_KEY
 
 
@@ -26,14 +28,17 @@ def payers(purchases: DataFrame, tenants: Tenants, windows: Windows) -> DataFram
 
     Several measures use this table, each other columns of it. The filter, which is always
     true, names every column, so that the aggregate is not pruned differently for each use and
-    Spark reuses its exchange."""
-    sliced = slice_purchases(purchases, tenants, windows).filter(F.col("user_id").isNotNull())
-    return sliced.groupBy(*USER_KEY).agg(
-        F.count("*").alias("purchases"),
-        F.min("time").alias("first_time"),
-        F.max("time").alias("last_time"),
-        F.bool_or(F.col("on_platform") & F.col("on_system")).alias("qualified"),
-    ).filter("first_time IS NOT NULL AND last_time IS NOT NULL AND qualified IS NOT NULL")
+    Spark reuses its exchange. ``Cubes`` keeps it as a stored table instead."""
+    known = tenants.flag(purchases.filter(F.col("user_id").isNotNull()))
+    aggregates = {
+        "purchases": F.count("*"),
+        "first_time": F.min("time"),
+        "last_time": F.max("time"),
+        "qualified": F.bool_or(F.col("on_platform") & F.col("on_system")),
+    }
+    again = {"purchases": F.sum, "first_time": F.min, "last_time": F.max, "qualified": F.bool_or}
+    grouped = by_window(known, windows, USER, aggregates, again).select(*USER_KEY, *aggregates)
+    return grouped.filter("first_time IS NOT NULL AND last_time IS NOT NULL AND qualified IS NOT NULL")
 
 
 def paying_user_purchases(purchases: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
@@ -45,6 +50,18 @@ def paying_user_purchases(purchases: DataFrame, tenants: Tenants, windows: Windo
     )
 
 
+def numbered_purchases(rows: DataFrame) -> DataFrame:
+    """``paying_user_purchases`` with ``ordinal``: 1, 2, ... by time and id within the user and window.
+    The long form of a document, for users of any size: a user is numbered slab by slab."""
+    return numbered(rows, USER_KEY, ["time", "id", "platform", "payment_system"])
+
+
+def purchases_by_system(rows: DataFrame) -> DataFrame:
+    """Configured purchases per user, window, platform and payment system, combined before the exchange."""
+    configured = rows.filter(F.col("on_platform") & F.col("on_system"))
+    return configured.groupBy(*USER_KEY, "platform", "payment_system").agg(F.count("*").alias("purchases"))
+
+
 def paying_user_documents(rows: DataFrame, tenants: Tenants) -> DataFrame:
     """The nested view of ``paying_user_purchases``: one document per paying user and window with
     all purchases by time, and for every configured platform the purchases on it with a configured
@@ -80,16 +97,4 @@ def paying_user_documents(rows: DataFrame, tenants: Tenants) -> DataFrame:
 
 def sessions_per_user(sessions: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
     """Session rows (not distinct ids) per user: total, and by platform in name order."""
-    sliced = slice_sessions(sessions, tenants, windows).filter(
-        F.col("on_platform") & F.col("user_id").isNotNull()
-    )
-    by_platform = sliced.groupBy(*USER_KEY, "platform").agg(F.count("*").alias("sessions"))
-    return merge_platform_counts(by_platform)
-
-
-def merge_platform_counts(by_platform: DataFrame) -> DataFrame:
-    """Per user and platform counts to one row per user; the array holds one item per platform."""
-    return by_platform.groupBy(*USER_KEY).agg(
-        F.sum("sessions").alias("total"),
-        F.sort_array(F.collect_list(F.struct("platform", "sessions"))).alias("platforms"),
-    )
+    return sessions_per_user_of(session_cube(sessions, tenants, windows, (BY_USER,)))

@@ -16,10 +16,10 @@ from spendlens.operators.intervals import interval_totals
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.plans.core import payers, slice_purchases, slice_sessions
+from spendlens.plans.cubes import USER
 from spendlens.schema import KEY, TENANT, USER_KEY
 from spendlens.sources.normalize import profile_purchases, profile_sessions
 
-USER = TENANT + ["user_id"]
 NOWHERE = ["CAST(NULL AS STRING) AS platform", "CAST(NULL AS INT) AS payment_system"]
 
 
@@ -45,6 +45,11 @@ class History:
         return users.join(known, USER, "left_semi")
 
 
+def weight(sessions: DataFrame) -> Column:
+    """How many sessions a row stands for."""
+    return F.col("n") if "n" in sessions.columns else F.lit(1).cast("long").alias("n")
+
+
 def _owner() -> Column:
     """The user packed into one column, see sessions_before_first."""
     return F.struct(*USER).alias("owner")
@@ -85,18 +90,18 @@ def sessions_before_first(history: History, users: DataFrame, tenants: Tenants)
     total = "array(named_struct('platform', CAST(NULL AS STRING), 'payment_system', CAST(NULL AS INT)))"
     pair = "f -> named_struct('platform', f.platform, 'payment_system', f.payment_system)"
     present = wanted.select(
-        "owner", F.explode(F.expr(f"concat({total}, transform(firsts, {pair}))")).alias("series"), F.lit(0).alias("n")
+        "owner", F.explode(F.expr(f"concat({total}, transform(firsts, {pair}))")).alias("series"), F.lit(0).cast("long").alias("n")
     )
     reached = "filter(firsts, f -> f.platform = platform AND time <= f.time)"
     met = F.expr(f"concat(IF(time <= first_any, {total}, array()), transform({reached}, {pair}))")
-    sessions = history.sessions.select(*USER, "time", "platform").filter(F.col("user_id").isNotNull())
+    sessions = history.sessions.select(*USER, "time", "platform", weight(history.sessions)).filter(F.col("user_id").isNotNull())
     # Sessions after the last of a user's first purchases count for none of them.
     latest = F.expr("coalesce(array_max(transform(firsts, f -> f.time)), first_any)").alias("latest")
     thresholds = wanted.select("owner.*", "first_any", "firsts", latest)
     counted = (
         sessions.join(thresholds, USER)
         .filter("time <= latest")
-        .select(_owner(), F.explode(met).alias("series"), F.lit(1).alias("n"))
+        .select(_owner(), F.explode(met).alias("series"), "n")
     )
     return (
         counted.unionByName(present)
@@ -107,11 +112,13 @@ def sessions_before_first(history: History, users: DataFrame, tenants: Tenants)
 
 
 def first_purchase_measures(
-    history: History, paying: DataFrame, tenants: Tenants
+    history: History, paying: DataFrame, tenants: Tenants, reached: DataFrame | None = None
 ) -> DataFrame:
-    """Measure rows: summed sessions to the first purchase and the users they belong to."""
+    """Measure rows: summed sessions to the first purchase and the users they belong to. ``reached``
+    are kept results of ``sessions_before_first`` for these users; without them, the whole history
+    is read."""
     matched = history.with_profile(paying.filter("qualified").select(*USER_KEY))
-    per_user = sessions_before_first(history, matched, tenants)
+    per_user = sessions_before_first(history, matched, tenants) if reached is None else reached
     by_series = (
         matched.join(per_user, USER)
         .groupBy(*KEY, "platform", "payment_system")
@@ -134,10 +141,17 @@ def between_purchases(
     repeat = paying.filter("purchases > 1").select(*USER_KEY, "first_time", "last_time")
     inside = (
         sessions.filter(F.col("user_id").isNotNull())
-        .select(*USER_KEY, "time", "platform", "on_platform")
+        .select(*USER_KEY, "time", "platform", "on_platform", weight(sessions))
         .join(repeat, USER_KEY)
         .filter(F.col("time").between(F.col("first_time"), F.col("last_time")))
+        .drop("first_time", "last_time")
     )
+    if "n" not in sessions.columns:
+        # Sessions at one time become one row before they are ordered. The packed user brings the
+        # exchange that lets the join be split.
+        owned = inside.select(F.struct(*USER_KEY).alias("owner"), "time", "platform", "on_platform", "n")
+        merged = owned.groupBy("owner", "time", "platform", "on_platform").agg(F.sum("n").alias("n"))
+        inside = merged.select("owner.*", "time", "platform", "on_platform", "n")
     bought = purchases.filter(F.col("user_id").isNotNull()).join(
         repeat.select(*USER_KEY), USER_KEY, "left_semi"
     )

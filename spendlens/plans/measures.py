@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
-from spendlens.plans.core import payers, slice_purchases, slice_sessions
+from spendlens.plans.core import payers
+from spendlens.plans.cubes import BY_ID, BY_USER, Cubes, by_window, session_cube
 from spendlens.plans.journey import NOWHERE, History, between_purchase_measures, first_purchase_measures
-from spendlens.schema import GRAIN_KEY, KEY
+from spendlens.schema import GRAIN_KEY, KEY, TENANT, WINDOW
 
 MEASURES = [
     "configured",
@@ -44,23 +45,30 @@ def _cell(platform: str, payment_system: str, **values: str) -> str:
     )
 
 
-def purchase_measures(
-    purchases: DataFrame, tenants: Tenants, windows: Windows, wanted: set[str] | None = None
-) -> DataFrame:
-    """Revenue and purchase counts. ``revenue`` and ``any_purchases`` take every payment system
+def purchases_by_cell(purchases: DataFrame, tenants: Tenants, windows: Windows, by_payers: bool = True) -> DataFrame:
+    """Per window, platform and payment system, with the flags of configuration: revenue (``amount``),
+    purchases (``n``) and, if ``by_payers``, those that have a user (``paid``)."""
+    aggregates = {"amount": F.coalesce(F.sum("price"), F.lit(0.0)), "n": F.count("*")}
+    if by_payers:
+        aggregates["paid"] = F.count("user_id")
+    return by_window(tenants.flag(purchases), windows, PURCHASE_GRAIN, aggregates, dict.fromkeys(aggregates, F.sum))
+
+
+def cells_of_cube(cube: DataFrame) -> DataFrame:
+    """``purchases_by_cell`` of a stored purchase cube."""
+    paid = F.sum(F.when(F.col("user_id").isNotNull(), F.col("n")).otherwise(0)).alias("paid")
+    return cube.groupBy(*WINDOW, *PURCHASE_GRAIN).agg(F.sum("amount").alias("amount"), F.sum("n").alias("n"), paid)
+
+
+PURCHASE_GRAIN = [*TENANT, "platform", "payment_system", "on_platform", "on_system"]
+
+
+def purchase_measures(by_system: DataFrame) -> DataFrame:
+    """Measure rows of ``purchases_by_cell``. ``revenue`` and ``any_purchases`` take every payment system
     on the configured platforms, with or without a user. ``purchases`` are those of paying users:
     every one in the total, and in the platform cells those with a configured payment system;
-    they are left out, with the column of the user, if ``wanted`` is given without them."""
-    by_payers = wanted is None or "purchases" in wanted
-    by_system = (
-        slice_purchases(purchases, tenants, windows)
-        .groupBy(*GRAIN_KEY, "on_platform", "on_system")
-        .agg(
-            F.coalesce(F.sum("price"), F.lit(0.0)).alias("amount"),
-            F.count("*").alias("n"),
-            *([F.count("user_id").alias("paid")] if by_payers else []),
-        )
-    )
+    they are left out where they were not counted."""
+    by_payers = "paid" in by_system.columns
     found = {"revenue": "IF(on_platform, amount, 0D)", "any_purchases": "IF(on_platform, n, 0L)"}
     known = {**found, **({"purchases": "IF(on_system, paid, 0L)"} if by_payers else {})}
     total = _cell("NULL", "NULL", **found, **({"purchases": "paid"} if by_payers else {}))
@@ -76,30 +84,27 @@ def purchase_measures(
     return by_system.selectExpr(*KEY, f"inline({cells})")
 
 
-def session_measures(
-    sessions: DataFrame, tenants: Tenants, windows: Windows, wanted: set[str] | None = None
-) -> DataFrame:
+SESSION_KINDS = {"active_users": BY_USER, "session_rows": BY_USER, "sessions": BY_ID}
+
+
+def kinds_for(wanted: set[str] | None) -> tuple[str, ...]:
+    names = SESSION_KINDS if wanted is None else [name for name in SESSION_KINDS if name in wanted]
+    return tuple(dict.fromkeys(SESSION_KINDS[name] for name in names))
+
+
+def session_measures(cube: DataFrame) -> DataFrame:
     """Distinct users, distinct session ids (a missing value is one of them) and session rows of
-    known users, or those ``wanted``. The total adds up the platforms, so a user of two platforms
-    counts twice. Each distinct count groups by its own value first: one partial aggregate per
-    count, and none for a count that nobody asks for."""
-    sliced = slice_sessions(sessions, tenants, windows).filter("on_platform")
-    cell = [*KEY, "platform"]
-    parts = []
-    if wanted is None or wanted & {"active_users", "session_rows"}:
-        by_user = sliced.groupBy(*cell, "user_id").agg(F.count("user_id").alias("n"))
-        counted = by_user.groupBy(*cell).agg(F.count("*").alias("active_users"), F.sum("n").alias("session_rows"))
-        parts.append((counted, ("active_users", "session_rows")))
-    if wanted is None or "sessions" in wanted:
-        by_id = sliced.select(*cell, "id").distinct()
-        parts.append((by_id.groupBy(*cell).agg(F.count("*").alias("sessions")), ("sessions",)))
-
-    def both_grains(by_platform: DataFrame, names: tuple[str, ...]) -> DataFrame:
-        values = {c: c for c in names}
-        cells = f"array({_cell('NULL', 'NULL', **values)}, {_cell('platform', 'NULL', **values)})"
-        return by_platform.selectExpr(*KEY, f"inline({cells})")
-
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [both_grains(*p) for p in parts])
+    known users, of a session cube. The total adds up the platforms, so a user of two platforms
+    counts twice. What the cube does not have is 0."""
+    by_user = F.col("kind") == BY_USER
+    counted = cube.groupBy(*KEY, "platform").agg(
+        F.count_if(by_user).alias("active_users"),
+        F.coalesce(F.sum(F.when(by_user & F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("session_rows"),
+        F.count_if(F.col("kind") == BY_ID).alias("sessions"),
+    )
+    values = {c: c for c in SESSION_KINDS}
+    cells = f"array({_cell('NULL', 'NULL', **values)}, {_cell('platform', 'NULL', **values)})"
+    return counted.selectExpr(*KEY, f"inline({cells})")
 
 
 def payer_measures(paying: DataFrame) -> DataFrame:
@@ -114,19 +119,34 @@ def measure_cells(
     windows: Windows,
     sources: set[str],
     profiles: DataFrame | None = None,
-    paying: DataFrame | None = None,
     measures: set[str] | None = None,
+    cubes: Cubes | None = None,
+    reached: DataFrame | None = None,
 ) -> DataFrame:
     """All cells with the measures of the named ``sources``, or of these only ``measures``; others
-    are 0. ``paying`` is a stored result of ``payers``, where there is one."""
+    are 0. ``cubes`` are the shared aggregates of these tables, where they have been written, and
+    ``reached`` the kept counts of sessions to the first purchase (``plans.state``). With profiles,
+    journeys are those of the profiles."""
+    paying = None if cubes is None else cubes.payers
     if paying is None and not sources.isdisjoint({"payers", "first", "between"}):
         paying = payers(purchases, tenants, windows)
     history = History.of(purchases, sessions, profiles)
+    if cubes is not None and profiles is None:
+        history = History.of(cubes.bought, cubes.visited)
+
+    def by_cell() -> DataFrame:
+        if cubes is not None:
+            return cells_of_cube(cubes.purchases)
+        return purchases_by_cell(purchases, tenants, windows, measures is None or "purchases" in measures)
+
+    def by_session() -> DataFrame:
+        return session_cube(sessions, tenants, windows, kinds_for(measures)) if cubes is None else cubes.sessions
+
     plans = {
-        "purchases": lambda: purchase_measures(purchases, tenants, windows, measures),
-        "sessions": lambda: session_measures(sessions, tenants, windows, measures),
+        "purchases": lambda: purchase_measures(by_cell()),
+        "sessions": lambda: session_measures(by_session()),
         "payers": lambda: payer_measures(paying),
-        "first": lambda: first_purchase_measures(history, paying, tenants),
+        "first": lambda: first_purchase_measures(history, paying, tenants, reached),
         "between": lambda: between_purchase_measures(history, paying, tenants, windows),
     }
     grid = tenants.grid(windows).withColumn("configured", F.lit(1))

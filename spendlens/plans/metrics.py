@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from spendlens.functions.arithmetic import ratio_sql as _ratio
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
+from spendlens.plans.cubes import Cubes
 from spendlens.plans.measures import measure_cells
 from spendlens.schema import GRAIN_KEY, KEY, METRIC_VALUES
 
@@ -115,17 +116,19 @@ def metric_values(
     windows: Windows,
     metrics: Iterable[str] = METRIC_NAMES,
     profiles: DataFrame | None = None,
-    paying: DataFrame | None = None,
+    cubes: Cubes | None = None,
+    reached: DataFrame | None = None,
 ) -> DataFrame:
     """The named metrics for every tenant and window, in one plan. Only the tables and columns
-    that these metrics need are read, each once per group of measures."""
+    that these metrics need are read, each once per group of measures; or, given ``cubes``, only
+    what was aggregated before (see ``measure_cells``)."""
     wanted = list(dict.fromkeys(metrics))
     unknown = set(wanted) - set(METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
     measures = set().union(*(METRICS[name].measures() for name in wanted))
     sources = {source for name in wanted for source in METRICS[name].sources}
-    cells = measure_cells(purchases, sessions, tenants, windows, sources, profiles, paying, measures)
+    cells = measure_cells(purchases, sessions, tenants, windows, sources, profiles, measures, cubes, reached)
     return from_cells(cells, wanted)
 
 
