@@ -29,6 +29,9 @@ DAYS = Windows.every(FIRST_DAY, timedelta(days=1), 30)
 WEEK_2 = Windows.single(datetime(2024, 1, 8), datetime(2024, 1, 15))
 # Overlapping windows, as days from the first.
 LISTED = [(0, 10), (5, 6), (5, 20), (28, 30)]
+OVERLAPPING = Windows.of(
+    (FIRST_DAY + timedelta(hours=6 * n), FIRST_DAY + timedelta(hours=6 * n + 72)) for n in range(108)
+)
 MONTH = Windows.single(FIRST_DAY, datetime(2024, 1, 31))
 
 
@@ -68,10 +71,11 @@ def sessions(spark: SparkSession, sf_dir: str, app: str = MAIN) -> DataFrame:
     )
 
 
-def one_tenant(spark: SparkSession) -> Tenants:
+def one_tenant(spark: SparkSession, *more_platforms: str) -> Tenants:
+    platforms = ", ".join(f"'{p}'" for p in ("Android", "iOS", *more_platforms))
     return Tenants.of(
         spark.sql(
-            "SELECT * FROM VALUES ('acme', 'main', array('Android', 'iOS'), array(1, 2))"
+            f"SELECT * FROM VALUES ('acme', 'main', array({platforms}), array(1, 2))"
             " AS t(company, app, platforms, payment_systems)"
         )
     )

@@ -13,6 +13,9 @@ DAYS = """SELECT TIMESTAMP '2024-01-01' + INTERVAL (i) DAY AS lower,
 WEEK_2 = "SELECT TIMESTAMP '2024-01-08' AS lower, TIMESTAMP '2024-01-15' AS upper"
 MONTH = "SELECT TIMESTAMP '2024-01-01' AS lower, TIMESTAMP '2024-01-31' AS upper"
 
+OVERLAPPING = """SELECT TIMESTAMP '2024-01-01' + INTERVAL (6 * i) HOUR AS lower,
+    TIMESTAMP '2024-01-01' + INTERVAL (6 * i + 72) HOUR AS upper FROM range(108) r(i)"""
+
 LISTED = """SELECT TIMESTAMP '2024-01-01' + INTERVAL (a) DAY AS lower, TIMESTAMP '2024-01-01' + INTERVAL (b) DAY AS upper
   FROM (VALUES (0, 10), (5, 6), (5, 20), (28, 30)) r(a, b)"""
 
@@ -338,8 +341,7 @@ SELECT platform, CAST(users AS DOUBLE) AS active_users, CAST(ids AS DOUBLE) AS s
     "count_by_user": f"""{base(WEEKS)}{COUNTS}
 SELECT lower, platform, user_id, count(*) AS sessions FROM ss GROUP BY ALL""",
     "collect_purchases": f"""{base(MONTH)}
-SELECT user_id, CAST(count(*) AS INTEGER) AS n, {IDS.format('', '', '')} AS ids
-FROM pw GROUP BY user_id""",
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY time, id) AS INTEGER) AS ordinal, id FROM pw""",
     "count_if_system": f"""{base(WEEKS)}{COUNTS}
 SELECT u.lower, u.user_id, pl.platform, count(ps.id) AS n,
   count(CASE WHEN ps.payment_system = 1 THEN 1 END) AS n1,
@@ -364,12 +366,9 @@ WHERE next_time IS NOT NULL""",
 SELECT user_id, platform, payment_system, t AS first_time FROM f_y""",
     "sessions_per_user": _user_counts(WEEKS, "ss"),
     "paying_users": f"""{base(WEEKS)}
-SELECT lower, upper, user_id, {IDS.format('', '', '')} AS ids,
-  coalesce(string_agg(CASE WHEN platform = 'Android' AND payment_system < 3 THEN id END, ',' ORDER BY time, id), '')
-    AS android_ids,
-  coalesce(string_agg(CASE WHEN platform = 'iOS' AND payment_system < 3 THEN id END, ',' ORDER BY time, id), '')
-    AS ios_ids
-FROM pw GROUP BY lower, upper, user_id""",
+SELECT lower, upper, user_id, row_number() OVER (PARTITION BY lower, user_id ORDER BY time, id) AS ordinal, id,
+  platform, payment_system, platform <> 'Web' AND payment_system < 3 AS on_platform_list
+FROM pw""",
     **{
         name: metrics([name], WEEKS)
         for name in ("total_revenue", "active_users", "number_sessions", "lifetime_value")
@@ -391,6 +390,14 @@ SELECT lower, upper, count(*) AS events FROM events JOIN w ON ts BETWEEN lower A
     "tenant_revenue": metrics(["total_revenue"], WEEKS, TWO_APPS),
     "metrics_all": metrics(list(METRICS), DAYS),
     "tenant_metrics_all": metrics(list(METRICS), WEEKS, TWO_APPS),
+    "metrics_overlapping": metrics(
+        ["total_revenue", "active_users", "number_sessions", "paying_users", "purchases_per_session"], OVERLAPPING
+    ),
+    "stored_metrics": metrics(list(METRICS), WEEKS),
+    "stored_paying_users": f"""{base(WEEK_2)}
+SELECT lower, upper, user_id, id, time, platform, payment_system FROM pw""",
+    "stored_sessions_per_user": _user_counts(WEEKS, "ss"),
+    "first_purchase_state": metrics(["sessions_first_purchase"], WEEKS, extra=RATIO),
     "metrics_with_missing_fields": metrics(
         list(METRICS), WEEKS, buyer="CASE WHEN event_id % 7 <> 0 THEN user_id END"
     ),

@@ -16,24 +16,29 @@ from spendlens.operators.ordered import with_next
 from spendlens.operators.tenants import build_catalogue
 from spendlens.operators.windows import Windows, contained_in
 from spendlens.plans.core import (
-    merge_platform_counts,
+    configured_counts,
+    numbered_purchases,
     payers,
-    paying_user_documents,
     paying_user_purchases,
+    purchases_by_system,
     sessions_per_user,
     slice_purchases,
     slice_sessions,
 )
+from spendlens.plans.cubes import BY_USER, USER, Cubes, by_window, session_cube
 from spendlens.plans.journey import History, between_purchases, first_purchases, sessions_before_first
-from spendlens.plans.measures import measure_cells
+from spendlens.plans.measures import measure_cells, purchase_measures, purchases_by_cell
 from spendlens.plans.metrics import METRIC_NAMES, metric_values
+from spendlens.plans.run import run
+from spendlens.plans.state import FirstPurchases
 from spendlens.sources.normalize import (
     normalize_purchases,
     normalize_sessions,
     profile_purchases,
     profile_sessions,
 )
-from spendlens.sources.store import lookup, lookup_sum, metric_documents
+from spendlens.sources.shared import fresh_folder, written
+from spendlens.sources.store import Store, lookup, lookup_sum, metric_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,13 +243,14 @@ def coerce_int_query(spark, d):
 
 
 def paying_profiles_semi(spark, d):
-    profiles = raw_profiles(spark, d)
-    paying = _payers(spark, d, I.WEEKS).filter("qualified")
-    matched = profiles.withColumnRenamed("userId", "user_id").join(
-        paying, ["company", "app", "user_id"], "left_semi"
+    history = History.of(I.purchases(spark, d), I.sessions(spark, d), raw_profiles(spark, d))
+    users = _payers(spark, d, I.WEEKS).filter("qualified").select(*USER).distinct()
+    matched = history.with_profile(users)
+    items = history.purchases.selectExpr(*USER, "1 AS purchase", "0 AS session").unionAll(
+        history.sessions.selectExpr(*USER, "0 AS purchase", "1 AS session")
     )
-    return matched.groupBy("user_id").agg(
-        F.sum(F.size("purchases")).alias("purchases"), F.sum(F.size("sessions")).alias("sessions")
+    return items.join(matched, USER, "left_semi").groupBy("user_id").agg(
+        F.sum("purchase").alias("purchases"), F.sum("session").alias("sessions")
     )
 
 
@@ -311,11 +317,8 @@ def _user_counts(merged: DataFrame) -> DataFrame:
 
 
 def merge_user_platform_counts(spark, d):
-    rows = I.MONTH.assign(I.sessions(spark, d))
-    counts = rows.groupBy("company", "app", "lower", "upper", "user_id", "platform").agg(
-        F.count("*").alias("sessions")
-    )
-    return _user_counts(merge_platform_counts(counts))
+    """All platforms are configured, so that a user's counts are of all sessions."""
+    return _user_counts(sessions_per_user(I.sessions(spark, d), I.one_tenant(spark, "Web"), I.MONTH))
 
 
 def sessions_per_user_query(spark, d):
@@ -323,24 +326,17 @@ def sessions_per_user_query(spark, d):
 
 
 def sum_by_system(spark, d):
-    sliced = slice_purchases(I.purchases(spark, d), I.one_tenant(spark), I.MONTH).filter("on_platform")
-    return sliced.groupBy("platform", "payment_system").agg(F.round(F.sum("price"), 6).alias("revenue"))
+    cells = purchases_by_cell(I.purchases(spark, d), I.one_tenant(spark), I.MONTH).filter("on_platform")
+    return cells.select("platform", "payment_system", F.round("amount", 6).alias("revenue"))
 
 
 def rollup_revenue(spark, d):
-    sliced = slice_purchases(I.purchases(spark, d), I.one_tenant(spark), I.WEEKS).filter("on_platform")
-    by_system = sliced.groupBy("lower", "platform", "payment_system").agg(F.sum("price").alias("revenue"))
-    rolled = by_system.groupingSets(
-        [["lower", "platform", "payment_system"], ["lower", "platform"], ["lower"]],
-        "lower",
-        "platform",
-        "payment_system",
-    ).agg(F.grouping_id().alias("level"), F.round(F.sum("revenue"), 6).alias("revenue"))
-    return rolled.select(
-        "lower",
-        F.when(F.col("level") < 3, F.col("platform")).otherwise("*").alias("platform"),
-        F.when(F.col("level") < 1, F.col("payment_system")).otherwise(0).alias("payment_system"),
-        "revenue",
+    rows = purchase_measures(purchases_by_cell(I.purchases(spark, d), I.one_tenant(spark), I.WEEKS))
+    return (
+        rows.filter("any_purchases > 0")
+        .groupBy("lower", "platform", "payment_system")
+        .agg(F.round(F.sum("revenue"), 6).alias("revenue"))
+        .withColumns({"platform": F.coalesce("platform", F.lit("*")), "payment_system": F.coalesce("payment_system", F.lit(0))})
     )
 
 
@@ -352,57 +348,37 @@ def distinct_per_platform(spark, d):
 
 
 def count_by_user(spark, d):
-    sliced = slice_sessions(I.sessions(spark, d), I.one_tenant(spark), I.WEEKS).filter("on_platform")
-    return sliced.groupBy("lower", "platform", "user_id").agg(F.count("*").alias("sessions"))
+    cube = session_cube(I.sessions(spark, d), I.one_tenant(spark), I.WEEKS, (BY_USER,))
+    return cube.select("lower", "platform", F.col("value").alias("user_id"), F.col("n").alias("sessions"))
 
 
-def _documents(spark, d, windows):
-    tenant = I.one_tenant(spark)
-    return paying_user_documents(paying_user_purchases(I.purchases(spark, d), tenant, windows), tenant)
+def _paying(spark, d, windows):
+    return paying_user_purchases(I.purchases(spark, d), I.one_tenant(spark), windows)
 
 
 def collect_purchases(spark, d):
-    return _documents(spark, d, I.MONTH).selectExpr(
-        "user_id", "size(purchases) AS n", "array_join(transform(purchases, p -> p.purchase_id), ',') AS ids"
-    )
+    """The purchases of a user in order: one numbered row each."""
+    return numbered_purchases(_paying(spark, d, I.MONTH)).select("user_id", "ordinal", "id")
 
 
 def paying_users(spark, d):
-    ids = "array_join(transform({}, p -> p.purchase_id), ',')"
-    on = "purchases_per_platform[{}].purchases"
-    return _documents(spark, d, I.WEEKS).selectExpr(
-        "lower",
-        "upper",
-        "user_id",
-        f"{ids.format('purchases')} AS ids",
-        f"{ids.format(on.format(0))} AS android_ids",
-        f"{ids.format(on.format(1))} AS ios_ids",
-    )
+    rows = numbered_purchases(_paying(spark, d, I.WEEKS))
+    listed = (F.col("on_platform") & F.col("on_system")).alias("on_platform_list")
+    return rows.select("lower", "upper", "user_id", "ordinal", "id", "platform", "payment_system", listed)
 
 
 def count_if_system(spark, d):
-    counted = "sum(size(filter(purchases, x -> x.payment_system = {})))"
-    return (
-        _documents(spark, d, I.WEEKS)
-        .selectExpr("lower", "user_id", "inline(purchases_per_platform)")
-        .groupBy("lower", "user_id", "platform")
-        .agg(
-            F.expr("sum(size(purchases))").alias("n"),
-            F.expr(counted.format(1)).alias("n1"),
-            F.expr(counted.format(2)).alias("n2"),
-        )
+    counts = configured_counts(_paying(spark, d, I.WEEKS), I.one_tenant(spark))
+    on = "coalesce(sum(IF(payment_system = {}, purchases, 0)), 0)"
+    return counts.groupBy("lower", "user_id", "platform").agg(
+        F.sum("purchases").alias("n"), F.expr(on.format(1)).alias("n1"), F.expr(on.format(2)).alias("n2")
     )
 
 
 def reduce_long(spark, d):
-    bought = paying_user_purchases(I.purchases(spark, d), I.one_tenant(spark), I.WEEKS)
-    per_user = (
-        bought.filter("on_platform AND on_system")
-        .groupBy("lower", "user_id", "platform", "payment_system")
-        .agg(F.count("*").alias("n"))
-    )
+    per_user = purchases_by_system(_paying(spark, d, I.WEEKS))
     return per_user.groupBy("lower", "platform", "payment_system").agg(
-        F.sum("n").alias("purchases"), F.count("*").alias("users")
+        F.sum("purchases").alias("purchases"), F.count("*").alias("users")
     )
 
 
@@ -462,15 +438,64 @@ def tenant_revenue(spark, d):
     return _report(values)
 
 
+def _shared_values(purchases, sessions, tenants, windows, names=METRIC_NAMES):
+    """Metrics from aggregates that are written once."""
+    cubes = Cubes.written(purchases, sessions, tenants, windows, written)
+    return metric_values(purchases, sessions, tenants, windows, names, cubes=cubes)
+
+
 def metrics_all(spark, d):
-    return _report(_daily_values(spark, d, *METRIC_NAMES))
+    return _report(_shared_values(I.purchases(spark, d), I.sessions(spark, d), I.one_tenant(spark), I.DAYS))
 
 
 def tenant_metrics_all(spark, d):
-    values = metric_values(
-        I.purchases(spark, d, I.APP), I.sessions(spark, d, I.APP), I.two_tenants(spark, d), I.WEEKS, METRIC_NAMES
-    )
-    return _report(values)
+    tables = I.purchases(spark, d, I.APP), I.sessions(spark, d, I.APP)
+    return _report(_shared_values(*tables, I.two_tenants(spark, d), I.WEEKS))
+
+
+def metrics_overlapping(spark, d):
+    """Windows of three days that start every six hours: twelve hold each row."""
+    tables = I.purchases(spark, d), I.sessions(spark, d)
+    names = ["total_revenue", "active_users", "number_sessions", "paying_users", "purchases_per_session"]
+    return _report(_shared_values(*tables, I.one_tenant(spark), I.OVERLAPPING, names))
+
+
+def stored_metrics(spark, d):
+    """A whole run, read back from the store; before it, one that ended too early and one of other rows."""
+    store, tables = Store(fresh_folder(spark, "store")), (I.purchases(spark, d), I.sessions(spark, d))
+    some = metric_values(*tables, I.one_tenant(spark), I.WEEKS, ["arpu"])
+    store.begin().write(some, "metric_values")
+    store.write(some.withColumn("value", -F.col("value")), "metric_values")
+    run(spark, *tables, I.one_tenant(spark), I.WEEKS, store)
+    return _report(store.read(spark, "metric_values"))
+
+
+def stored_paying_users(spark, d):
+    store = Store(fresh_folder(spark, "store"))
+    store.write(_paying(spark, d, I.WEEKS), "paying_users", I.one_tenant(spark).keys(I.WEEKS))
+    stored = store.within(spark, "paying_users", I.WEEK_2.first, I.WEEK_2.last)
+    return stored.select("lower", "upper", "user_id", "id", "time", "platform", "payment_system")
+
+
+def stored_sessions_per_user(spark, d):
+    store, tenants = Store(fresh_folder(spark, "store")), I.one_tenant(spark)
+    store.write(sessions_per_user(I.sessions(spark, d), tenants, I.WEEKS), "sessions_per_user", tenants.keys(I.WEEKS))
+    return _user_counts(store.read(spark, "sessions_per_user"))
+
+
+def first_purchase_state(spark, d):
+    """Sessions to the first purchase from the kept state. The rows arrive in three batches, by time; one
+    row in eleven of the first two comes late, with the third."""
+    tables = I.purchases(spark, d), I.sessions(spark, d)
+    late = F.pmod(F.xxhash64("user_id", "time"), F.lit(11)) == 0
+    batch = F.when(late | (F.col("time") >= F.lit("2024-01-20").cast("timestamp_ntz")), 3)
+    batch = batch.when(F.col("time") >= F.lit("2024-01-09").cast("timestamp_ntz"), 2).otherwise(1)
+    state, tenants = FirstPurchases(fresh_folder(spark, "state")), I.one_tenant(spark)
+    for n in (1, 2, 3):
+        arrived = [t.filter(batch == n) for t in tables]
+        state.advance(spark, *arrived, tables[1].filter(batch <= n), label=f"batch {n}")
+    values = metric_values(*tables, tenants, I.WEEKS, ["sessions_first_purchase"], reached=state.reached(spark, tenants))
+    return _report(values, "numerator", "denominator")
 
 
 def metrics_with_missing_fields(spark, d):
@@ -499,8 +524,9 @@ def windows_left_closed(spark, d):
 def windows_listed(spark, d):
     """Overlapping windows of different widths."""
     bounds = tuple((I.FIRST_DAY + timedelta(days=a), I.FIRST_DAY + timedelta(days=b)) for a, b in I.LISTED)
-    bought = Windows(bounds).assign(I.purchases(spark, d))
-    return bought.groupBy("lower", "upper").agg(F.count("*").alias("purchases"), F.round(F.sum("price"), 6).alias("revenue"))
+    aggregates = {"purchases": F.count("*"), "revenue": F.sum("price")}
+    found = by_window(I.purchases(spark, d), Windows(bounds), [], aggregates, dict.fromkeys(aggregates, F.sum))
+    return found.withColumn("revenue", F.round("revenue", 6))
 
 
 def purchases_in_window(spark, d):
@@ -582,7 +608,12 @@ QUERIES: dict[str, Query] = {
     "tenant_revenue": tenant_revenue,
     "metrics_all": metrics_all,
     "tenant_metrics_all": tenant_metrics_all,
+    "metrics_overlapping": metrics_overlapping,
     "metrics_with_missing_fields": metrics_with_missing_fields,
+    "stored_metrics": stored_metrics,
+    "stored_paying_users": stored_paying_users,
+    "stored_sessions_per_user": stored_sessions_per_user,
+    "first_purchase_state": first_purchase_state,
     "journeys_from_profiles": journeys_from_profiles,
     "windows_left_closed": windows_left_closed,
     "windows_listed": windows_listed,

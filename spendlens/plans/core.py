@@ -62,6 +62,16 @@ def purchases_by_system(rows: DataFrame) -> DataFrame:
     return configured.groupBy(*USER_KEY, "platform", "payment_system").agg(F.count("*").alias("purchases"))
 
 
+def configured_counts(rows: DataFrame, tenants: Tenants) -> DataFrame:
+    """``purchases_by_system`` with every configured platform of each paying user: one on which
+    nothing counts has a row without payment system and 0 purchases."""
+    flags = (F.col("on_platform") & F.col("on_system")).alias("counts")
+    by_cell = rows.groupBy(*USER_KEY, "platform", "payment_system", flags).agg(F.count("*").alias("purchases"))
+    users = tenants.join(by_cell.select(*USER_KEY).distinct())
+    empty = users.selectExpr(*USER_KEY, "explode(platforms) AS platform", "CAST(NULL AS INT) AS payment_system", "0L AS purchases")
+    return by_cell.filter("counts").drop("counts").unionByName(empty)
+
+
 def paying_user_documents(rows: DataFrame, tenants: Tenants) -> DataFrame:
     """The nested view of ``paying_user_purchases``: one document per paying user and window with
     all purchases by time, and for every configured platform the purchases on it with a configured

@@ -29,6 +29,8 @@ SERIES_TYPE = "STRUCT<platform: STRING, payment_system: INT>"
 # All purchases of a user, on any platform.
 ALL = f"CAST(NULL AS {SERIES_TYPE})"
 SESSION_DAYS, REACHED = "session_days", "reached"
+DAYS_SCHEMA = "company string, app string, user_id string, platform string, day date, n long"
+REACHED_SCHEMA = f"company string, app string, user_id string, series {SERIES_TYPE}, time timestamp_ntz, sessions long"
 
 
 @dataclass(frozen=True)
@@ -52,14 +54,12 @@ class FirstPurchases:
         days = visits.groupBy(*USER, "platform", F.col("time").cast("date").alias("day")).agg(F.count("*").alias("n"))
         new_days = run.scratch(days, "days")
         firsts = run.scratch(_firsts(purchases), "firsts")
-        known = store.rows(spark, REACHED)
-        before = _latest(known) if known is not None else _nothing(spark)
+        before = _latest(store.rows(spark, REACHED, REACHED_SCHEMA))
         merged = run.scratch(_merged(firsts, before), "merged")
         changed = merged.filter("old_time IS NULL OR time < old_time").select(*USER, "series", "time")
-        old_days = store.rows(spark, SESSION_DAYS)
-        all_days = new_days if old_days is None else new_days.unionByName(old_days.drop("_sequence"))
+        all_days = new_days.unionByName(store.rows(spark, SESSION_DAYS, DAYS_SCHEMA).drop("_sequence"))
         counted = _recounted(changed, all_days, history)
-        stay = before.join(changed.select(*USER, "series"), _same_series(before, changed), "left_anti") if known is not None else before
+        stay = before.join(changed.select(*USER, "series"), _same_series(before, changed), "left_anti")
         run.append(counted.unionByName(_with_late(stay, visits)), REACHED)
         run.append(new_days, SESSION_DAYS)
         run.publish(spark)
@@ -69,18 +69,16 @@ class FirstPurchases:
         """Per user and series (platform and payment system; both null for the first purchase of all),
         the sessions up to the first purchase, as ``sessions_before_first`` gives them: the total
         and the configured pairs of known tenants."""
-        known = Store(self.root).rows(spark, REACHED)
-        current = _latest(known) if known is not None else _nothing(spark)
+        current = _latest(Store(self.root).rows(spark, REACHED, REACHED_SCHEMA))
         flagged = tenants.flag(current.select(*USER, "series.platform", "series.payment_system", "series", "sessions"))
         return flagged.filter("series IS NULL OR (on_platform AND on_system)").select(*USER, "platform", "payment_system", "sessions")
 
     def compact(self, spark: SparkSession, target: FirstPurchases, label: str | None = None) -> None:
         """Write the state as one run of another place, without what later runs have replaced."""
         store, run = Store(self.root), Store(target.root).begin(label)
-        known, days = store.rows(spark, REACHED), store.rows(spark, SESSION_DAYS)
-        if known is not None:
-            run.append(_latest(known), REACHED)
-            run.append(days.groupBy(*USER, "platform", "day").agg(F.sum("n").alias("n")), SESSION_DAYS)
+        run.append(_latest(store.rows(spark, REACHED, REACHED_SCHEMA)), REACHED)
+        days = store.rows(spark, SESSION_DAYS, DAYS_SCHEMA)
+        run.append(days.groupBy(*USER, "platform", "day").agg(F.sum("n").alias("n")), SESSION_DAYS)
         run.publish(spark)
 
 
@@ -98,11 +96,6 @@ def _latest(known: DataFrame) -> DataFrame:
     return known.groupBy(*USER, "series").agg(newest).select(*USER, "series", "now.*")
 
 
-def _nothing(spark: SparkSession) -> DataFrame:
-    kinds = "company string, app string, user_id string, series struct<platform: string, payment_system: int>, time timestamp_ntz, sessions long"
-    return spark.createDataFrame([], kinds)
-
-
 def _same_series(a: DataFrame, b: DataFrame):
     same = a["series"].eqNullSafe(b["series"])
     for c in USER:

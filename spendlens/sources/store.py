@@ -97,12 +97,13 @@ class Store:
         """The stored values of one metric for the windows inside ``[start, end]``."""
         return lookup(self.within(spark, "metric_values", start, end), name, start, end)
 
-    def rows(self, spark: SparkSession, table: str) -> DataFrame | None:
-        """The rows of all published runs of a table of ``Run.append``, with their ``_sequence``; None
-        before the first."""
+    def rows(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
+        """The rows of all published runs of a table of ``Run.append``, with their ``_sequence``. The schema
+        is given, as runs may have had no rows, or none may have been published."""
         if not any(table in r.tables for r in self.published(spark)):
-            return None
-        return spark.read.parquet(f"{self.root}/{table}").join(self._order(spark, table), "run").drop("run")
+            return spark.createDataFrame([], f"{schema}, _sequence long")
+        stored = spark.read.schema(f"{schema}, run string").parquet(f"{self.root}/{table}")
+        return stored.join(self._order(spark, table), "run").drop("run")
 
     def _order(self, spark: SparkSession, table: str) -> DataFrame:
         runs = [(r.sequence, r.run) for r in self.published(spark) if table in r.tables]

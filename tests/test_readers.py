@@ -10,6 +10,7 @@ from spendlens.operators.tenants import Tenants, build_catalogue
 from spendlens.operators.windows import Windows
 from spendlens.plans.metrics import metric_values
 from spendlens.schema import RAW_APP_SETTINGS, RAW_COMPANIES, RAW_PROFILES, RAW_PURCHASES, RAW_SESSIONS
+from spendlens.sources.collections import read_collections
 from spendlens.sources.normalize import (
     normalize_profiles,
     normalize_purchases,
@@ -86,3 +87,30 @@ def test_profiles(read):
     found = cells(metric_values(purchases, sessions, tenants, DAY, names, profiles))
     assert found["sessions_first_purchase", None, None] == 1.0
     assert found["sessions_between_purchases", None, None] == 0.0
+
+
+def test_collections_of_several_tenants(spark, tmp_path):
+    def collection(name, *rows):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "part.json").write_text("\n".join(json.dumps(r) for r in rows))
+
+    def purchase(n):
+        return {"id": n, "userId": f"u{n}", "price": n, "paymentSystem": 1, "time": 1.7e12, "device": {"osType": "iOS"}}
+
+    collection("acme_purchases_shop", purchase(1), purchase(2))
+    collection("big_co_purchases_my_app", purchase(3))  # underscores stand for spaces and for themselves
+    collection("acme_purchases_other", purchase(4))
+    collection("acme_mobileSessions_shop", {"id": 9, "userId": "u", "startTime": "junk", "device": {"osType": "iOS"}})
+    (tmp_path / "acme_purchases_other" / "part.json.gz").write_bytes(b"an error for whoever opens it")
+    kinds = "company string, app string, platforms array<string>, payment_systems array<int>"
+    known = [("acme", "shop", ["iOS"], [1]), ("big_co", "my app", ["iOS"], [1]), ("none", "none", [], [])]
+    tenants = Tenants.of(spark.createDataFrame(known, kinds))
+    raw = read_collections(spark, str(tmp_path), "purchases", RAW_PURCHASES, tenants)
+    found = normalize_purchases(raw)
+    assert sorted((r.company, r.app, r.id, r.price) for r in found.collect()) == [
+        ("acme", "shop", "1", 1.0), ("acme", "shop", "2", 2.0), ("big_co", "my app", "3", 3.0),
+    ]
+    assert read_collections(spark, str(tmp_path), "mobileSessions", RAW_SESSIONS, tenants).count() == 1
+    large = Tenants(tenants.frame, False)
+    assert read_collections(spark, str(tmp_path), "mobileSessions", RAW_SESSIONS, large).first().app == "shop"
