@@ -8,8 +8,10 @@ users with a purchase in a window, their purchases and their sessions by time.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,7 +119,7 @@ def payer_sessions(sessions: DataFrame, users: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Cubes:
     """The shared aggregates of a run, as stored tables: ``purchases`` and ``sessions`` are cubes,
-    ``bought`` and ``visited`` the purchases and sessions of payers, and ``payers`` the payers."""
+    ``bought`` and ``visited`` the purchases and sessions of payers; ``payers`` are those of the cube."""
 
     purchases: DataFrame
     sessions: DataFrame
@@ -135,13 +137,15 @@ class Cubes:
         write: Callable[[DataFrame, str], DataFrame],
         lifetime: bool = True,
     ) -> Cubes:
-        """Two scans of each table. ``write`` stores a frame under a name and reads it back.
-        ``lifetime`` keeps what payers did outside the windows, which first purchases need."""
-        bought_by = write(purchase_cube(purchases, tenants, windows), "purchase_cube")
-        visited_by = write(session_cube(sessions, tenants, windows), "session_cube")
-        paying = write(payers_of(bought_by), "payers")
-        users = paying.select(*USER).distinct()
+        """Two scans of each table, those of one table beside those of the other. ``write`` stores a
+        frame under a name and reads it back. ``lifetime`` keeps what payers did outside the
+        windows, which first purchases need."""
         past = [t if lifetime else windows.cover(t) for t in (purchases, sessions)]
-        bought = write(payer_purchases(past[0], users), "payer_purchases")
-        visited = write(payer_sessions(past[1], users), "payer_sessions")
-        return cls(bought_by, visited_by, paying, bought, visited)
+        with ThreadPoolExecutor(2) as beside:
+            visited_by = beside.submit(inheritable_thread_target(write), session_cube(sessions, tenants, windows), "session_cube")
+            bought_by = write(purchase_cube(purchases, tenants, windows), "purchase_cube")
+            paying = payers_of(bought_by)
+            users = paying.select(*USER).distinct()
+            visited = beside.submit(inheritable_thread_target(write), payer_sessions(past[1], users), "payer_sessions")
+            bought = write(payer_purchases(past[0], users), "payer_purchases")
+            return cls(bought_by, visited_by.result(), paying, bought, visited.result())
