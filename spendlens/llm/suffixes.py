@@ -261,7 +261,8 @@ def repeated_spans(documents: DataFrame, length: int = 200, gram: int = 64) -> D
                 yield pa.RecordBatch.from_arrays(columns, ["_id", "_hash", "start", "n", "sync", "body", "k"])
 
     texts = documents.select("_id", "_hash", F.col("text").cast("binary").alias("text"))
-    runs = texts.mapInArrow(cut, "_id long, _hash long, start long, n long, sync long, body long, k long")
+    # Written, as both the search for twins and the join with them read it.
+    runs = stored(texts.mapInArrow(cut, "_id long, _hash long, start long, n long, sync long, body long, k long"), "runs")
     twins = runs.groupBy("sync").agg(F.sum("k").alias("all")).filter("all > 1").select("sync")
     live = stored(runs.join(twins.hint("merge"), "sync"), "live-runs")
     firsts = live.groupBy("sync", "body").agg(
@@ -286,7 +287,9 @@ def repeated_spans(documents: DataFrame, length: int = 200, gram: int = 64) -> D
             kinds = [pa.int64()] * 4 + [pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    matched = _packed(texts).hint("merge").join(wanted, ["_id", "_hash"])
+    # Of rows that are equal, one is cut into pieces. The grouping brings the exchange of the join.
+    once = _packed(texts).groupBy("_id", "_hash").agg(F.first("text").alias("text"))
+    matched = once.hint("merge").join(wanted, ["_id", "_hash"])
     pieces = matched.mapInArrow(extract, "sync long, body long, copies long, n long, large boolean, piece binary")
     if large.isEmpty():
         found = _sorted_hits(pieces.drop("large"), length, gram)
@@ -298,7 +301,8 @@ def repeated_spans(documents: DataFrame, length: int = 200, gram: int = 64) -> D
     spans = live.join(found.hint("merge"), ["sync", "body"]).select(
         "_id", "_hash", F.expr("inline(transform(hits, x -> named_struct('start', start + x.start, 'stop', start + x.stop)))")
     )
-    return spans.groupBy("_id", "_hash").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    # A set, as each of the equal rows has brought the same spans.
+    return spans.groupBy("_id", "_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 _HITS = "sync long, body long, hits array<struct<start:long,stop:long>>"
