@@ -54,12 +54,13 @@ SELECT id AS doc_id, n AS n_shingles, root AS component_id, root = id AS kept FR
 )
 
 PARAGRAPHS = (
-    "WITH RECURSIVE lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS text,"
-    " unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS number FROM documents),"
+    "WITH RECURSIVE marked AS (SELECT doc_id, string_split("
+    "regexp_replace(coalesce(text, ''), '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) AS cut FROM documents),"
+    " lines AS (SELECT doc_id, unnest(cut) AS text, unnest(range(len(cut))) AS number FROM marked),"
     " words AS (SELECT doc_id * 1048576 + number AS id, doc_id, number, [x FOR x IN "
     + SPACED
     + " IF x <> ''] AS w FROM lines)"
-    + _LINKED.format(items=f", sets AS (SELECT id, {_SHINGLES} AS shingles FROM words WHERE len(w) >= 5)", percent=80)
+    + _LINKED.format(items=f", sets AS (SELECT id, {_SHINGLES} AS shingles FROM words WHERE len(w) >= 15)", percent=80)
     + """,
 gone AS (
   SELECT doc_id, count(*) AS n, string_agg(number::VARCHAR, ',' ORDER BY number) AS removed
