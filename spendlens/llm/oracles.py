@@ -60,7 +60,7 @@ PARAGRAPHS = (
     " words AS (SELECT doc_id * 1048576 + number AS id, doc_id, number, [x FOR x IN "
     + SPACED
     + " IF x <> ''] AS w FROM lines)"
-    + _LINKED.format(items=f", sets AS (SELECT id, {_SHINGLES} AS shingles FROM words WHERE len(w) >= 15)", percent=80)
+    + _LINKED.format(items=f", sets AS (SELECT id, {_SHINGLES} AS shingles FROM words WHERE len(w) >= 20)", percent=80)
     + """,
 gone AS (
   SELECT doc_id, count(*) AS n, string_agg(number::VARCHAR, ',' ORDER BY number) AS removed

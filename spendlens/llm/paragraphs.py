@@ -58,7 +58,7 @@ def repeated_paragraphs(
     num: int = 80,
     den: int = 100,
     size: int = 5,
-    min_words: int = 15,
+    min_words: int = 20,
     recall: float = 0.9999,
     hashes: int = 48,
 ) -> DataFrame:
@@ -72,7 +72,7 @@ def repeated_paragraphs(
     texts have no paragraph, a null doc_id keeps all of its, and rows of one doc_id count as one
     document."""
     bands, rows = tune_bands(num / den, recall, hashes)
-    numbered = _number(documents)
+    numbered = _number(documents).filter(F.regexp_count("text", F.lit(r"[^ \t-\r]+")) >= min_words)
     marks = near_duplicates(
         numbered.select(F.col("id").alias("doc_id"), "text"),
         num, den, size, bands, rows, signature=minhash, min_words=min_words,

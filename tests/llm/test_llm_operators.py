@@ -467,7 +467,7 @@ def test_paragraphs(llm, words):
         (12, "Before.  " + base[4] + "! " + base[5].replace("w", "v") + "?"), (13, "Other words of another line. " + base[4] + "!\nlast"), (-9, base[4] + "!"),
     ]
     removed = repeated_paragraphs(docs(llm, rows))
-    items = [(i, k, shingles(p, 5, 15)) for i, t in rows if i is not None for k, p in enumerate(paragraphs_of(t or ""))]
+    items = [(i, k, shingles(p, 5, 20)) for i, t in rows if i is not None for k, p in enumerate(paragraphs_of(t or ""))]
     items = [x for x in items if x[2]]
     links = [(a, b) for a, x in enumerate(items) for b, y in enumerate(items) if a < b and 100 * len(x[2] & y[2]) >= 80 * len(x[2] | y[2])]
     groups = defaultdict(list)
