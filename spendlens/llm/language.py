@@ -2,27 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.llm.common import packed_columns, stored
 from spendlens.llm.text import mix, slices
 
-#: The languages that a model may hold: bounds the broadcast matrix to 256 x 2^15 floats, 32 MB.
-MAX_LANGUAGES = 256
+#: Languages whose probabilities are broadcast and scored together; bounds a broadcast matrix to
+#: 256 x 2^15 floats, 32 MB. More languages make more blocks, scored one after the other.
+BLOCK_LANGUAGES = 256
+#: Rows of counts per language that are broadcast at most; more are joined by a shuffle.
+BROADCAST_LANGUAGES = 100_000
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
-class LanguageModel:
+class LanguageBlock:
+    """Languages that follow each other by name."""
+
     languages: list[str]
     #: float32 [buckets, languages]: log probability of a hashed n-gram under a language.
     log_probability: np.ndarray
     log_prior: np.ndarray
+
+
+@dataclass(frozen=True)
+class LanguageModel:
+    languages: list[str]
+    #: The blocks as broadcasts, in the order of the languages.
+    blocks: list[Broadcast[LanguageBlock]]
     sizes: tuple[int, ...]
 
 
@@ -60,26 +74,30 @@ def _has_letter(text: bytes) -> bool:
 
 def fit_languages(
     labelled: DataFrame,
-    sample_rows: int = 20_000,
+    rows_per_language: int = 5_000,
     sizes: tuple[int, ...] = (1, 3),
     buckets: int = 1 << 15,
     alpha: float = 0.1,
+    block: int = BLOCK_LANGUAGES,
 ) -> LanguageModel:
-    """Fits on labelled (text, lang), on at most about `sample_rows` rows drawn by a hash of the
-    text. Rows whose text or language is null are not used. Without any row the model is empty.
+    """Fits on labelled (text, lang): the n-grams of about `rows_per_language` rows of each language,
+    drawn by a hash of the text, so that a rare language is learned whole; the priors count all
+    rows. Equal texts are drawn together, and each language has one text at least. Rows whose text or
+    language is null are not used. Without any row the model is empty.
 
-    The counts are summed per language and bucket on the executors; the driver gets the summed
-    matrix, whose size `buckets` and MAX_LANGUAGES bound."""
+    No number of languages is refused. The counts are summed per language and bucket on the executors;
+    the driver gets the summed matrix of `block` languages at a time, whose size `buckets` bounds."""
     rows = labelled.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    total, kinds = rows.agg(F.count(F.lit(1)), F.approx_count_distinct("lang")).first()
-    if not total:
-        return LanguageModel([], np.zeros((buckets, 0), np.float32), np.zeros(0), sizes)
-    if kinds > MAX_LANGUAGES * 1.2:
-        raise ValueError(f"about {kinds} languages; the model holds {MAX_LANGUAGES}")
-    share = min(1.0, sample_rows / total)
-    if share < 1:
-        drawn = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30))
-        rows = rows.filter(drawn < int(share * (1 << 30)))
+    draw = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30))
+    totals = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"), F.min(draw).alias("least")), "languages")
+    kinds, largest, everything = totals.agg(F.count(F.lit(1)), F.max("total"), F.sum("total")).first()
+    if not kinds:
+        return LanguageModel([], [], sizes)
+    if largest > rows_per_language:
+        share = F.lit(rows_per_language) / F.col("total") * (1 << 30)
+        limits = totals.select("lang", F.greatest(F.ceil(share), F.col("least") + 1).alias("limit"))
+        limits = F.broadcast(limits) if kinds <= BROADCAST_LANGUAGES else limits
+        rows = rows.join(limits, "lang").filter(draw < F.col("limit")).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -107,18 +125,21 @@ def fit_languages(
 
     binary = rows.select(F.col("text").cast("binary").alias("text"), "lang")
     sums = binary.mapInArrow(count, "lang string, bucket int, n long")
-    table = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(set(table["lang"]))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the model holds {MAX_LANGUAGES}")
-    column = table["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)
-    bucket, n = table["bucket"].to_numpy(), table["n"].to_numpy(np.float64)
-    prior = np.zeros(len(languages))
-    prior[column[bucket < 0]] = n[bucket < 0]
-    counts = np.full((buckets, len(languages)), alpha)
-    counts[bucket[bucket >= 0], column[bucket >= 0]] += n[bucket >= 0]
-    log_probability = np.log(counts / counts.sum(axis=0)).astype(np.float32)
-    return LanguageModel(languages, log_probability, np.log(prior / prior.sum()), sizes)
+    counted = stored(sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
+    prior = dict(totals.select("lang", "total").toPandas().itertuples(index=False))
+    languages = sorted(prior)
+    context = labelled.sparkSession.sparkContext
+    blocks = []
+    for start in range(0, len(languages), block):
+        names = languages[start : start + block]
+        table = counted.filter(F.col("bucket").between(0, buckets - 1) & F.col("lang").between(names[0], names[-1])).toPandas()
+        counts = np.full((buckets, len(names)), alpha)
+        column = table["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(np.int64)
+        counts[table["bucket"].to_numpy(np.int64), column] += table["n"].to_numpy(np.float64)
+        log_probability = np.log(counts / counts.sum(axis=0)).astype(np.float32)
+        log_prior = np.log(np.array([prior[x] for x in names], np.float64) / everything)
+        blocks.append(context.broadcast(LanguageBlock(names, log_probability, log_prior)))
+    return LanguageModel(languages, blocks, sizes)
 
 
 def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
@@ -127,37 +148,63 @@ def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
     score is the posterior of the predicted language, the evidence scaled to one log ratio per
     character, as n-grams of a text are not independent. A null text, one without a letter, or an
-    empty model gives `und` with score 0. Equal posteriors give the first language by name."""
-    spark = documents.sparkSession
-    held = spark.sparkContext.broadcast(model)
+    empty model gives `und` with score 0. Equal posteriors give the first language by name.
+
+    The blocks of a model are scored in a row in one job, each with its own broadcast: a row carries the
+    best language so far, its evidence, and the sum of the scaled posteriors in relation to it."""
     documents = documents.select(*[c for c in documents.columns if c not in ("lang_pred", "score")])
     kept = [c for c in documents.columns if c != "text"]
-
+    scored = documents.select(
+        packed_columns(documents, without=("text",)) if kept else F.lit(0).alias("_row"),
+        F.col("text").cast("binary").alias("text"),
+        F.lit(None).cast("string").alias("_best"),
+        F.lit(float("-inf")).alias("_top"),
+        F.lit(0.0).alias("_total"),
+    )
+    schema = scored.schema
+    for held in model.blocks:
+        scored = scored.mapInArrow(_scorer(held, model.sizes), schema)
+    known = F.col("_best").isNotNull()
+    columns = [F.col("_row").getField(c).alias(c) for c in kept]
+    return scored.select(
+        *columns,
+        F.coalesce("_best", F.lit(UNKNOWN)).alias("lang_pred"),
+        F.when(known, 1 / F.col("_total")).otherwise(0.0).alias("score"),
+    )
+
+
+def _scorer(held: Broadcast[LanguageBlock], sizes: tuple[int, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        n_lang, matrix = len(model.languages), np.ascontiguousarray(model.log_probability.T, np.float64)
+        block = held.value
+        matrix = np.ascontiguousarray(block.log_probability.T, np.float64)
         for batch in batches:
-            best, sure = [], []
-            for _, texts in slices(batch.column("text").to_pylist()):
-                sums = np.tile(model.log_prior, (len(texts), 1))
-                if n_lang:
-                    lengths = np.maximum(1, np.fromiter(map(len, texts), np.int64, len(texts)))
-                    for bucket, owner in _grams(texts, model.sizes, matrix.shape[1]):
-                        bounds = np.searchsorted(owner, np.arange(len(texts)))
-                        some = np.diff(np.append(bounds, len(owner))) > 0
-                        if some.any():
-                            for k in range(n_lang):
-                                sums[some, k] += np.add.reduceat(matrix[k][bucket], bounds[some])
-                    at = sums.argmax(axis=1)
-                    scaled = (sums - sums.max(axis=1, keepdims=True)) / np.log2(lengths + 1)[:, None]
-                    top = 1 / np.exp(scaled).sum(axis=1)
+            best, tops, totals = [], [], []
+            before = batch.column("_best").to_pylist()
+            top_before = np.asarray(batch.column("_top"))
+            total_before = np.asarray(batch.column("_total"))
+            for first, texts in slices(batch.column("text").to_pylist()):
+                span = slice(first, first + len(texts))
+                sums = np.tile(block.log_prior, (len(texts), 1))
+                for bucket, owner in _grams(texts, sizes, matrix.shape[1]):
+                    bounds = np.searchsorted(owner, np.arange(len(texts)))
+                    some = np.diff(np.append(bounds, len(owner))) > 0
+                    if some.any():
+                        for k in range(len(block.languages)):
+                            sums[some, k] += np.add.reduceat(matrix[k][bucket], bounds[some])
+                lengths = np.maximum(1, np.fromiter(map(len, texts), np.int64, len(texts)))
+                scale = np.log2(lengths + 1)
+                at, here = sums.argmax(axis=1), sums.max(axis=1)
+                top = np.maximum(here, top_before[span])
+                total = np.exp((sums - top[:, None]) / scale[:, None]).sum(axis=1)
+                total += total_before[span] * np.exp((top_before[span] - top) / scale)
+                better = here > top_before[span]
                 for i, text in enumerate(texts):
-                    known = n_lang and _has_letter(text)
-                    best.append(model.languages[at[i]] if known else UNKNOWN)
-                    sure.append(float(top[i]) if known else 0.0)
-            columns = [batch.column(c) for c in kept] + [pa.array(best, pa.string()), pa.array(sure, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{c}` {t}" for c, t in documents.dtypes if c != "text")
-    binary = documents.withColumn("text", F.col("text").cast("binary"))
-    return binary.mapInArrow(score, f"{fields}, lang_pred string, score double")
+                    lettered = before[first + i] is not None or _has_letter(text)
+                    best.append((block.languages[at[i]] if better[i] else before[first + i]) if lettered else None)
+                tops.append(top)
+                totals.append(total)
+            columns = [batch.column("_row"), batch.column("text"), pa.array(best, pa.string())]
+            columns += [pa.array(np.concatenate([*x, np.zeros(0)])) for x in (tops, totals)]
+            yield pa.RecordBatch.from_arrays(columns, ["_row", "text", "_best", "_top", "_total"])
+
+    return score

@@ -3,6 +3,7 @@ repeated rows and columns whose names clash; and on empty tables."""
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -29,6 +30,7 @@ from spendlens.llm.quality import fit_quality, hierarchical_quality, score_docum
 from spendlens.llm.signatures import minhash, superminhash
 from spendlens.llm.similarity import similar_vectors
 from spendlens.llm.suffixes import difference_cover, kept_text, remove_repeats, repeated_starts
+from spendlens.llm.text import mix
 from spendlens.llm.toxicity import fit_severity, score_severity
 
 DOCS = "doc_id long, text string, lang string, source string, band string, score double, spans string, _id string"
@@ -490,3 +492,61 @@ def test_bands_reach_the_recall():
     for similarity in (0.7, 0.8, 0.9):
         bands, rows = tune_bands(similarity, 0.9999, 128)
         assert bands * rows <= 128 and estimated_recall(similarity, bands, rows) >= 0.9999
+
+
+def _posteriors(rows, text, sizes=(1, 3), buckets=1 << 15, alpha=0.1):
+    """Naive Bayes by the book: {language: log evidence of the text}."""
+    def grams(value):
+        out = []
+        spaced = re.sub(r"\s+", " ", " " + "".join(c if c.isalpha() else " " for c in value.lower()) + " ")
+        for n in sizes:
+            for i in range(len(spaced) - n + 1):
+                gram = spaced[i : i + n]
+                if n == 1 and gram == " ":
+                    continue
+                packed = 0
+                for c in gram:
+                    packed = ((packed << 21) ^ (packed >> 43) ^ ord(c)) & (2**64 - 1)
+                out.append(int(mix(np.array([packed + (n << 58)], np.uint64))[0]) % buckets)
+        return out
+
+    counts, documents = {}, Counter()
+    for value, lang in rows:
+        counts.setdefault(lang, Counter()).update(grams(value))
+        documents[lang] += 1
+    found = {}
+    for lang, of in counts.items():
+        total = sum(of.values()) + alpha * buckets
+        found[lang] = math.log(documents[lang] / len(rows)) + sum(math.log((of[g] + alpha) / total) for g in grams(text))
+    return found
+
+
+def test_languages_beyond_one_block_match_brute_force(llm):
+    letters = "abcdefghijklmnopqrst"
+    names = [f"l{i:03d}" for i in range(300)]
+    words = {name: f"{letters[i // 20]}{letters[i % 20]}x {letters[i % 20]}{letters[i // 20]}zq" for i, name in enumerate(names)}
+    rows = [(w, n) for n, w in words.items()] * 2 + [(words["l007"], "l007")] * 5
+    table = llm.createDataFrame(rows, "text string, lang string")
+    tests = [(i, words[n]) for i, n in enumerate(names[::10])] + [(900, None), (901, "12 3"), (902, "tie")]
+    many = {r.doc_id: r for r in predict_languages(docs(llm, tests), fit_languages(table, block=64)).collect()}
+    one = {r.doc_id: r for r in predict_languages(docs(llm, tests), fit_languages(table, block=512)).collect()}
+    assert {i: r.lang_pred for i, r in many.items()} == {i: r.lang_pred for i, r in one.items()}
+    for i, text in tests:
+        assert abs(many[i].score - one[i].score) < 1e-9
+        if i in (900, 901):
+            assert (many[i].lang_pred, many[i].score) == ("und", 0.0)
+            continue
+        expected = _posteriors(rows, text)
+        top = max(expected.values())
+        scale = math.log2(len(text) + 1)
+        assert abs(many[i].score - 1 / sum(math.exp((v - top) / scale) for v in expected.values())) < 1e-3
+        assert expected[many[i].lang_pred] > top - 1e-4
+    assert all(many[i].lang_pred == n for i, n in enumerate(names[::10]))
+
+
+def test_language_sample_keeps_rare_languages(llm):
+    rows = [(f"common word number {i}", "big") for i in range(3000)] + [("zyx wvu", "rare")]
+    model = fit_languages(llm.createDataFrame(rows, "text string, lang string"), rows_per_language=50)
+    assert model.languages == ["big", "rare"]
+    found = predict_languages(docs(llm, [(1, "wvu zyx"), (2, "a common number")]), model).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "rare", 2: "big"}
