@@ -415,4 +415,14 @@ SELECT lower, upper, user_id, count(*) AS purchases FROM pw GROUP BY ALL""",
 SELECT x.lower, x.upper, string_agg(p.platform, ',' ORDER BY p.platform) AS platforms, CAST(max(x.ids) AS DOUBLE) AS result
 FROM ses_t x JOIN ses_p p USING (app, lower, upper) GROUP BY x.lower, x.upper""",
     "path_safe_names": """SELECT event_id, 'app_' || event_type || '.' || CAST(user_id % 5 AS VARCHAR) AS name FROM events""",
+    "distinct_users_by_span": f"""{base(MONTH)},
+spans AS ({WEEKS} UNION ALL {MONTH})
+SELECT 'acme' AS company, 'main' AS app, spans.lower, spans.upper, coalesce(platform, '*') AS platform,
+  count(DISTINCT coalesce(user_id, '')) AS users
+FROM s SEMI JOIN pl USING (app, platform) JOIN spans ON time >= spans.lower AND time < spans.upper
+GROUP BY GROUPING SETS ((spans.lower, spans.upper, platform), (spans.lower, spans.upper))""",
+    "rejected_records": """SELECT 'acme' AS company, 'app' || CAST(user_id % 2 AS VARCHAR) AS app,
+  CASE WHEN event_id % 13 = 0 THEN 'record' WHEN event_id % 7 = 0 THEN 'time' WHEN event_id % 11 = 0 THEN 'platform'
+    ELSE 'none' END AS reason, count(*) AS n
+FROM events WHERE event_type = 'purchase' GROUP BY ALL""",
 }

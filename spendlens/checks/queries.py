@@ -26,17 +26,20 @@ from spendlens.plans.core import (
     slice_sessions,
 )
 from spendlens.plans.cubes import BY_USER, USER, Cubes, by_window, session_cube
+from spendlens.plans.distincts import DailyUsers
 from spendlens.plans.journey import History, between_purchases, first_purchases, sessions_before_first
 from spendlens.plans.measures import measure_cells, purchase_measures, purchases_by_cell
 from spendlens.plans.metrics import METRIC_NAMES, metric_values
 from spendlens.plans.run import run
 from spendlens.plans.state import FirstPurchases
 from spendlens.sources.normalize import (
+    mark_purchases,
     normalize_purchases,
     normalize_sessions,
     profile_purchases,
     profile_sessions,
 )
+from spendlens.sources.rejects import CORRUPT, Landing
 from spendlens.sources.shared import fresh_folder, written
 from spendlens.sources.store import Store, lookup, lookup_sum, metric_documents
 
@@ -549,7 +552,42 @@ def path_safe_names(spark, d):
     return I.events(spark, d).select("event_id", path_safe(name).alias("name"))
 
 
+def distinct_users_by_span(spark, d):
+    """Two weeks, then the others with late sessions of the first; counted by week and month."""
+    sessions, kept = I.sessions(spark, d), DailyUsers(fresh_folder(spark, "daily-users"))
+    late = (F.col("time") >= "2024-01-15") | (F.xxhash64("id") % 5 == 0)
+    kept.advance(spark, sessions.filter(~late), "first")
+    kept.advance(spark, sessions.filter(late), "second")
+    weeks = [(I.FIRST_DAY + I.WEEK * i, I.FIRST_DAY + I.WEEK * (i + 1)) for i in range(5)]
+    spans = [(a.date(), b.date()) for a, b in [*weeks, (I.FIRST_DAY, datetime(2024, 1, 31))]]
+    found = kept.users(spark, spans, I.one_tenant(spark))
+    return found.withColumns(
+        {**{c: F.col(c).cast("timestamp_ntz") for c in ("lower", "upper")}, "platform": F.coalesce("platform", F.lit("*"))}
+    )
+
+
+def rejected_records(spark, d):
+    """Records of two apps, some without a readable time, platform or form, by reason."""
+    raw = I.events(spark, d).filter("event_type = 'purchase'").selectExpr(
+        f"{I.COMPANY} AS company",
+        f"{I.APP} AS app",
+        "event_id AS id",
+        "user_id AS userId",
+        "CAST(value AS STRING) AS price",
+        f"CAST({I.PAYMENT_SYSTEM} AS STRING) AS paymentSystem",
+        f"IF(event_id % 7 = 0, 'unknown', {EITHER_TIME}) AS time",
+        f"IF(event_id % 11 = 0, '{{}}', {DEVICE}) AS device",
+        f"IF(event_id % 13 = 0, '{{', NULL) AS {CORRUPT}",
+    )
+    landing = Landing(fresh_folder(spark, "landing"))
+    landing.add(mark_purchases(raw))
+    read = landing.rows(spark).groupBy("company", "app").agg(F.count("*").alias("n"))
+    return landing.rejected(spark).unionByName(read.withColumn("reason", F.lit("none")))
+
+
 QUERIES: dict[str, Query] = {
+    "distinct_users_by_span": distinct_users_by_span,
+    "rejected_records": rejected_records,
     # scans and sinks
     "scan_purchases": scan_purchases,
     "scan_sessions": scan_sessions,

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from spendlens.functions.parsing import any_time, coerce_double, coerce_int, epoch_ms, json_field
 from spendlens.schema import TENANT
+from spendlens.sources.rejects import CORRUPT, accepted, marked
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
@@ -27,9 +28,19 @@ def _field(raw: DataFrame, name: str) -> tuple[Column, T.DataType]:
     return F.col(name), raw.schema[name].dataType
 
 
-def normalize_purchases(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
-    """``company`` and ``app`` are columns of ``raw`` unless given (one table per tenant)."""
-    return raw.select(
+def _corrupt(raw: DataFrame) -> list[Column]:
+    return [F.col(CORRUPT)] if CORRUPT in raw.columns else []
+
+
+def _readable(raw: DataFrame, rows: DataFrame) -> DataFrame:
+    if CORRUPT in raw.columns:
+        return accepted(rows)
+    return rows.filter(F.col("time").isNotNull() & F.col("platform").isNotNull()).drop("reject")
+
+
+def mark_purchases(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
+    """All records, also those that cannot be read, with the column ``reject`` of ``sources.rejects``."""
+    rows = raw.select(
         *_tenant(raw, company, app),
         F.col("id").cast("string").alias("id"),
         F.col("userId").cast("string").alias("user_id"),
@@ -37,17 +48,31 @@ def normalize_purchases(raw: DataFrame, company: str | None = None, app: str | N
         any_time(*_field(raw, "time")).alias("time"),
         json_field(*_field(raw, "device"), "osType").alias("platform"),
         coerce_int(F.col("paymentSystem")).alias("payment_system"),
-    ).filter(F.col("time").isNotNull() & F.col("platform").isNotNull())
+        *_corrupt(raw),
+    )
+    return marked(raw, rows)
 
 
-def normalize_sessions(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
-    return raw.select(
+def normalize_purchases(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
+    """``company`` and ``app`` are columns of ``raw`` unless given (one table per tenant)."""
+    return _readable(raw, mark_purchases(raw, company, app))
+
+
+def mark_sessions(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
+    """All records, also those that cannot be read, with the column ``reject`` of ``sources.rejects``."""
+    rows = raw.select(
         *_tenant(raw, company, app),
         F.col("id").cast("string").alias("id"),
         F.col("userId").cast("string").alias("user_id"),
         any_time(*_field(raw, "startTime")).alias("time"),
         json_field(*_field(raw, "device"), "osType").alias("platform"),
-    ).filter(F.col("time").isNotNull() & F.col("platform").isNotNull())
+        *_corrupt(raw),
+    )
+    return marked(raw, rows)
+
+
+def normalize_sessions(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
+    return _readable(raw, mark_sessions(raw, company, app))
 
 
 def normalize_profiles(raw: DataFrame, company: str | None = None, app: str | None = None) -> DataFrame:
