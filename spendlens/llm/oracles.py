@@ -94,22 +94,33 @@ FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 PFAIR_MIX = """
-WITH RECURSIVE sizes AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
-shares AS (SELECT source, n, (1000 - count(*) OVER ()) * sqrt(n) / sum(sqrt(n)) OVER () AS share FROM sizes),
-parts AS (
-  SELECT source, n, floor(share)::BIGINT + 1
-    + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, source) <= 1000 - sum(floor(share) + 1) OVER () THEN 1 ELSE 0 END AS w
+WITH RECURSIVE sizes AS (SELECT coalesce(source, '') AS source, count(*) AS n, sqrt(count(*)) AS size FROM documents GROUP BY 1),
+ranked AS (
+  SELECT *, count(*) OVER () - row_number() OVER (ORDER BY size DESC, source) AS smaller,
+    sum(size) OVER (ORDER BY size DESC, source ROWS UNBOUNDED PRECEDING) AS from_here,
+    ceil(count(*) OVER () * 10 / 1000.0)::BIGINT * 1000 AS total
+  FROM sizes
+), free AS (SELECT *, (total - smaller) * size >= from_here AS free FROM ranked),
+shares AS (
+  SELECT source, n, total, free, CASE WHEN free
+    THEN (total - count(*) FILTER (NOT free) OVER ()) * size / sum(size) FILTER (free) OVER () ELSE 1 END AS share
+  FROM free
+), parts AS (
+  SELECT source, n, total, floor(share)::BIGINT
+    + CASE WHEN row_number() OVER (ORDER BY free DESC, share - floor(share) DESC, source) <= total - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS w
   FROM shares
 ), one AS (
-  SELECT list(w ORDER BY source) AS ws, list(n ORDER BY source) AS ns, list(source ORDER BY source) AS ss, count(*) AS k FROM parts
+  SELECT list(w ORDER BY source) AS ws, list(n ORDER BY source) AS ns, list(source ORDER BY source) AS ss, count(*) AS k,
+    max(total) AS p FROM parts
 ), slots AS (
   SELECT 0::BIGINT AS t, [0::BIGINT FOR w IN ws] AS taken,
-    list_min([(1000 + ws[i] - 1) // ws[i] * 10000 + i FOR i IN range(1, k + 1)]) % 10000 AS pick
+    list_min([(p + ws[i] - 1) // ws[i] * 100000 + i FOR i IN range(1, k + 1)]) % 100000 AS pick
   FROM one
   UNION ALL
   SELECT t + 1, had,
-    list_min([((had[i] + 1) * 1000 + ws[i] - 1) // ws[i] * 10000 + i FOR i IN range(1, k + 1) IF had[i] * 1000 // ws[i] <= t + 1]) % 10000
-  FROM (SELECT t, [taken[j] + CASE WHEN j = pick THEN 1 ELSE 0 END FOR j IN range(1, len(taken) + 1)] AS had FROM slots WHERE t < 999), one
+    list_min([((had[i] + 1) * p + ws[i] - 1) // ws[i] * 100000 + i FOR i IN range(1, k + 1) IF had[i] * p // ws[i] <= t + 1]) % 100000
+  FROM (SELECT t, p, ws, k, [taken[j] + CASE WHEN j = pick THEN 1 ELSE 0 END FOR j IN range(1, len(taken) + 1)] AS had
+        FROM slots, one WHERE t < p - 1)
 ), pattern AS (SELECT t, ss[pick] AS source, taken[pick] AS nth, taken FROM slots, one),
 numbered AS (
   SELECT doc_id, coalesce(source, '') AS source,
@@ -119,11 +130,11 @@ numbered AS (
   SELECT doc_id, d.source, d.nth // 64 AS block, d.nth % 64 AS place, w, d.nth // 64 // w AS cycle, t, taken
   FROM numbered d JOIN parts USING (source) JOIN pattern p ON p.source = d.source AND p.nth = d.nth // 64 % w
 ), horizon AS (
-  SELECT min((n + 63) // 64 // w * 1000 + t) AS h FROM parts p JOIN pattern USING (source) WHERE nth = (n + 63) // 64 % w
+  SELECT min((n + 63) // 64 // w * total + t) AS h FROM parts p JOIN pattern USING (source) WHERE nth = (n + 63) // 64 % w
 )
-SELECT doc_id, source, block, place::INT AS place, cycle * 1000 + t AS slot,
+SELECT doc_id, source, block, place::INT AS place, cycle * p + t AS slot,
   list_sum([least(ns[j], 64 * (cycle * ws[j] + taken[j])) FOR j IN range(1, k + 1)])::BIGINT + place AS position,
-  block * 1000 // w AS release, ((block + 1) * 1000 + w - 1) // w AS deadline, cycle * 1000 + t < h AS in_balance
+  block * p // w AS release, ((block + 1) * p + w - 1) // w AS deadline, cycle * p + t < h AS in_balance
 FROM placed, one, horizon
 """
 

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from llm_fixtures import SMALL, llm, words  # noqa: F401
@@ -114,3 +115,20 @@ def test_pipeline_keeps_one_of_repeated_rows_and_null_ids(llm, words):
     assert Counter((r.doc_id, r.text) for r in once.collect()) == expected
     cut = corpus_pipeline.cut_repeats(llm, once, SMALL)
     assert Counter((r.doc_id, r.text or None) for r in cut.collect()) == Counter({(i, t or None): n for (i, t), n in expected.items()})
+
+
+def test_mixing_sql_on_sources_of_unequal_size(llm, tmp_path):
+    sizes = {f"s{i:02d}": int(10 ** (i * 5 / 19)) for i in range(20)}
+    rows = [(source, n) for source, n in sizes.items()]
+    table = llm.createDataFrame(rows, "source string, n int").selectExpr("source", "explode(sequence(1, n)) AS at")
+    table = table.selectExpr("CAST(abs(xxhash64(source, at)) AS BIGINT) AS doc_id", "source", "'x' AS text")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op2_pfair_mix"](llm, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.execute(ORACLES["op2_pfair_mix"]).fetchdf()
+    assert len(found) == sum(sizes.values()) and set(found.columns) == set(expected.columns)
+    columns = sorted(found.columns)
+    found, expected = (f[columns].sort_values("doc_id").reset_index(drop=True) for f in (found, expected))
+    for c in columns:
+        assert (found[c] == expected[c]).all(), c
