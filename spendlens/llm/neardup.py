@@ -30,12 +30,13 @@ def shingle_sets(texts: list[bytes], size: int, min_words: int = 1) -> tuple[np.
 def fingerprints(
     items: DataFrame, size: int, signature: Signature, bands: int, rows: int, min_words: int = 1
 ) -> DataFrame:
-    """(id, n_shingles long, set_1 long, set_2 long, bands array<long>) for items (id long, text):
-    the size of the set of shingles, a 128-bit hash of the set, and one key per band."""
+    """(id, text_key long, n_shingles long, set_1 long, set_2 long, bands array<long>) for items (id
+    long, text): a hash of the text, the size of the set of shingles, a 128-bit hash of the set, and
+    one key per band."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id")
+            ids, text_keys = batch.column("id"), batch.column("text_key")
             for first, texts in slices(batch.column("text").to_pylist()):
                 values, bounds = shingle_sets(texts, size, min_words)
                 sizes = np.diff(bounds)
@@ -44,45 +45,57 @@ def fingerprints(
                 keys = band_keys(signature(values, bounds, bands * rows), rows)
                 offsets = np.append(0, np.cumsum(np.where(sizes > 0, bands, 0))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[sizes > 0].ravel()))
-                columns = [ids.slice(first, len(texts)), pa.array(sizes), *map(pa.array, hashes), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "set_1", "set_2", "bands"])
+                given = [c.slice(first, len(texts)) for c in (ids, text_keys)]
+                columns = [*given, pa.array(sizes), *map(pa.array, hashes), lists]
+                yield pa.RecordBatch.from_arrays(columns, FINGERPRINT)
 
-    binary = items.select(F.col("id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    return binary.mapInArrow(work, "id long, n_shingles long, set_1 long, set_2 long, bands array<long>")
+    schema = "id long, text_key long, n_shingles long, set_1 long, set_2 long, bands array<long>"
+    return _keyed_texts(items).mapInArrow(work, schema)
+
+
+FINGERPRINT = ["id", "text_key", "n_shingles", "set_1", "set_2", "bands"]
+
+
+def _keyed_texts(items: DataFrame) -> DataFrame:
+    """(id long, text_key long, text binary): the hash tells the texts of one id apart."""
+    text = F.col("text").cast("binary")
+    return items.select(F.col("id").cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
 def similar_edges(marked: DataFrame, items: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) between the items (id, text) whose sets have den * |intersection| >= num *
-    |union|, enough of them to connect all items that such links connect. marked has (id,
-    n_shingles, bands) of one item of each set.
+    |union|, enough of them to connect all items that such links connect. marked has (id, text_key,
+    n_shingles, bands) of one item of each set; an id may have several texts.
 
     All members of a band are candidates of each other. They meet in the group of the band's
     smallest id, which compares full sets exactly and emits a spanning forest only, never all
-    pairs. Groups are divided into parts, so no task holds more than two parts."""
-    exploded = marked.filter("id IS NOT NULL").select(F.explode("bands").alias("band"), "id", "n_shingles")
+    pairs. A member is a text, which comes once however many rows repeat it. Groups are divided
+    into parts, so no task holds more than two parts."""
+    exploded = marked.filter("id IS NOT NULL").select(F.explode("bands").alias("band"), *MEMBER)
     leaders = (
         exploded.groupBy("band")
         .agg(F.min("id").alias("leader"), F.max("id").alias("other"))
         .filter("leader <> other")
         .select("band", "leader")
     )
-    members = exploded.join(leaders, "band").select("leader", "id", "n_shingles").distinct()
+    members = exploded.join(leaders, "band").select("leader", *MEMBER).distinct()
     members = stored(members, "members")
     parts = members.groupBy("leader").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / PART_ROWS, F.sum("n_shingles") / PART_SHINGLES)).cast("int").alias("parts")
     )
-    own = F.pmod(F.hash("id", F.lit(7)), F.col("parts"))
+    own = F.pmod(F.hash("id", "text_key", F.lit(7)), F.col("parts"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     placed = (
         members.join(parts, "leader")
-        .select("leader", "id", own.alias("own"), other.alias("other"))
+        .select("leader", "id", "text_key", own.alias("own"), other.alias("other"))
         .select(
             "id",
+            "text_key",
             F.struct("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("place"),
         )
     )
-    texts = items.select(F.col("id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    rows = texts.hint("merge").join(placed, "id").select("place.leader", "place.i", "place.j", "id", "text")
+    texts = _keyed_texts(items).filter("id IS NOT NULL").dropDuplicates(["id", "text_key"])
+    rows = texts.hint("merge").join(placed, ["id", "text_key"]).select("place.leader", "place.i", "place.j", "id", "text")
 
     def compare(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups:
@@ -94,6 +107,9 @@ def similar_edges(marked: DataFrame, items: DataFrame, size: int, num: int, den:
     return map_groups(rows, ["leader", "i", "j"], compare, "a long, b long")
 
 
+MEMBER = ["id", "text_key", "n_shingles"]
+
+
 def map_groups(
     frame: DataFrame,
     keys: list[str],
@@ -211,10 +227,10 @@ def near_duplicates(
     items = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
     marked = stored(fingerprints(items, size, signature, bands, rows, min_words), "fingerprints")
     filled = marked.filter("n_shingles > 0 AND id IS NOT NULL")
-    first = filled.groupBy("set_1", "set_2").agg(F.min("id").alias("first"))
-    bands_once = F.when(F.col("id") == F.col("first"), F.col("bands")).alias("bands")
+    least = filled.groupBy("set_1", "set_2").agg(F.min(F.struct("id", "text_key")).alias("least"))
+    bands_once = F.when(F.struct("id", "text_key") == F.col("least"), F.col("bands")).alias("bands")
     classed = stored(
-        filled.join(first, ["set_1", "set_2"]).select("id", "n_shingles", "first", bands_once), "classes"
+        filled.join(least, ["set_1", "set_2"]).select(*MEMBER, F.col("least.id").alias("first"), bands_once), "classes"
     )
     leaders = classed.filter("bands IS NOT NULL")
     edges = similar_edges(leaders, items, size, num, den)

@@ -251,6 +251,33 @@ def test_near_duplicates(llm, words, monkeypatch):
     assert near_duplicates(docs(llm, [])).count() == 0
 
 
+def test_near_duplicates_of_repeated_rows(llm, words, monkeypatch):
+    """Ids with several texts have the links of each; a text comes once, however many rows repeat it."""
+    monkeypatch.setattr(neardup, "PART_ROWS", 3)
+    base = [words(300 + i, 120) for i in range(4)]
+    rows = [(1, base[0]), (1, base[1]), (1, base[0] + " end"), (2, base[1] + " more"), (3, base[2]), (3, base[3] + " x"), (9, base[3])]
+    rows += [(7, base[2] + " y"), (7, base[2] + " y"), (-4, base[3] + " z"), (1, base[0]), (6, None), (6, ""), (6, base[0].upper())]
+    found = near_duplicates(docs(llm, rows), 85, 100).collect()
+    sets = [shingles(t or "") for _, t in rows]
+    ids = sorted({i for i, _ in rows})
+    links = [
+        (rows[a][0], rows[b][0]) for a in range(len(rows)) for b in range(a)
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    ]
+    want = roots(ids, links)
+    assert {i: want[i] for i in ids} == {1: 1, 2: 1, 3: -4, 6: 1, 7: -4, 9: -4, -4: -4}
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == sorted(
+        (i, len(s), want[i], want[i] == i) for (i, _), s in zip(rows, sets, strict=True)
+    )
+
+
+def test_near_duplicates_of_one_id_repeated_very_often(llm, words):
+    text = words(350, 400)
+    many = llm.range(50_000).selectExpr("5L AS doc_id", f"'{text}' AS text")
+    found = near_duplicates(many.union(docs(llm, [(8, text + " more")]).select("doc_id", "text")))
+    assert sorted(map(tuple, found.groupBy("doc_id", "component_id", "kept").count().collect())) == [(5, 5, True, 50_000), (8, 5, False, 1)]
+
+
 def test_signatures_estimate_the_similarity():
     rng = np.random.default_rng(5)
     for signature in (superminhash, minhash):
