@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from spendlens.checks import inputs as I
 from spendlens.functions.arithmetic import safe_ratio
 from spendlens.functions.parsing import coerce_int, epoch_ms, iso_day, json_field, path_safe, printed_date
+from spendlens.operators import exact
 from spendlens.operators.ordered import with_next
 from spendlens.operators.tenants import build_catalogue
 from spendlens.operators.windows import Windows, contained_in
@@ -330,7 +331,8 @@ def sessions_per_user_query(spark, d):
 
 def sum_by_system(spark, d):
     cells = purchases_by_cell(I.purchases(spark, d), I.one_tenant(spark), I.MONTH).filter("on_platform")
-    return cells.select("platform", "payment_system", F.round("amount", 6).alias("revenue"))
+    sums = exact.added_up(cells, ["platform", "payment_system"], "revenue")
+    return sums.withColumn("revenue", F.round("revenue", 6))
 
 
 def rollup_revenue(spark, d):

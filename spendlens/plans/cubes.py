@@ -15,6 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.operators import exact
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.schema import KEY, TENANT, USER_KEY, WINDOW
@@ -45,17 +46,18 @@ def by_window(
 
 def purchase_cube(purchases: DataFrame, tenants: Tenants, windows: Windows) -> DataFrame:
     """Per window, user (null is one), platform and payment system, with the flags of configuration:
-    the revenue, the number of purchases, and the times of the first and the last."""
-    keys = [c for c in PURCHASE_CELL if c not in WINDOW]
+    the revenue in exact parts (a row per magnitude of the price), the number of purchases, and the
+    times of the first and the last."""
+    keys = [c for c in PURCHASE_CELL if c not in WINDOW] + [exact.BIN]
     aggregates = {
-        "amount": F.coalesce(F.sum("price"), F.lit(0.0)),
+        **exact.sums(),
         "n": F.count("*"),
         "first_time": F.min("time"),
         "last_time": F.max("time"),
     }
-    again = {"amount": F.sum, "n": F.sum, "first_time": F.min, "last_time": F.max}
-    cube = by_window(tenants.flag(purchases), windows, keys, aggregates, again)
-    return cube.select(*PURCHASE_CELL, *aggregates)
+    again = {**dict.fromkeys([*exact.SUMS, "n"], F.sum), "first_time": F.min, "last_time": F.max}
+    cube = by_window(exact.split(tenants.flag(purchases), "price"), windows, keys, aggregates, again)
+    return cube.select(*PURCHASE_CELL, exact.BIN, *aggregates)
 
 
 def session_cube(

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.operators import exact
 from spendlens.operators.tenants import Tenants
 from spendlens.operators.windows import Windows
 from spendlens.plans.core import payers
@@ -46,30 +47,34 @@ def _cell(platform: str, payment_system: str, **values: str) -> str:
 
 
 def purchases_by_cell(purchases: DataFrame, tenants: Tenants, windows: Windows, by_payers: bool = True) -> DataFrame:
-    """Per window, platform and payment system, with the flags of configuration: revenue (``amount``),
-    purchases (``n``) and, if ``by_payers``, those that have a user (``paid``)."""
-    aggregates = {"amount": F.coalesce(F.sum("price"), F.lit(0.0)), "n": F.count("*")}
+    """Per window, platform, payment system and magnitude of the price, with the flags of configuration:
+    revenue (in the parts of ``operators.exact``), purchases (``n``) and, if ``by_payers``, those
+    that have a user (``paid``)."""
+    aggregates = {**exact.sums(), "n": F.count("*")}
     if by_payers:
         aggregates["paid"] = F.count("user_id")
-    return by_window(tenants.flag(purchases), windows, PURCHASE_GRAIN, aggregates, dict.fromkeys(aggregates, F.sum))
+    rows = exact.split(tenants.flag(purchases), "price")
+    return by_window(rows, windows, [*PURCHASE_GRAIN, exact.BIN], aggregates, dict.fromkeys(aggregates, F.sum))
 
 
 def cells_of_cube(cube: DataFrame) -> DataFrame:
     """``purchases_by_cell`` of a stored purchase cube."""
     paid = F.sum(F.when(F.col("user_id").isNotNull(), F.col("n")).otherwise(0)).alias("paid")
-    return cube.groupBy(*WINDOW, *PURCHASE_GRAIN).agg(F.sum("amount").alias("amount"), F.sum("n").alias("n"), paid)
+    revenue = [total.alias(name) for name, total in exact.sums().items()]
+    return cube.groupBy(*WINDOW, *PURCHASE_GRAIN, exact.BIN).agg(*revenue, F.sum("n").alias("n"), paid)
 
 
 PURCHASE_GRAIN = [*TENANT, "platform", "payment_system", "on_platform", "on_system"]
 
 
 def purchase_measures(by_system: DataFrame) -> DataFrame:
-    """Measure rows of ``purchases_by_cell``. ``revenue`` and ``any_purchases`` take every payment system
+    """Measure rows of ``purchases_by_cell``, one per cell. ``revenue`` and ``any_purchases`` take every payment system
     on the configured platforms, with or without a user. ``purchases`` are those of paying users:
     every one in the total, and in the platform cells those with a configured payment system;
     they are left out where they were not counted."""
     by_payers = "paid" in by_system.columns
-    found = {"revenue": "IF(on_platform, amount, 0D)", "any_purchases": "IF(on_platform, n, 0L)"}
+    revenue = {part: f"IF(on_platform, {part}, {'0D' if part == exact.BEYOND else '0L'})" for part in exact.SUMS}
+    found = {**revenue, "any_purchases": "IF(on_platform, n, 0L)"}
     known = {**found, **({"purchases": "IF(on_system, paid, 0L)"} if by_payers else {})}
     total = _cell("NULL", "NULL", **found, **({"purchases": "paid"} if by_payers else {}))
     platform = _cell("platform", "NULL", **known)
@@ -81,7 +86,8 @@ def purchase_measures(by_system: DataFrame) -> DataFrame:
         f" WHEN payment_system IS NULL THEN array({total}, {platform})"
         f" ELSE array({total}, {platform}, {system}) END"
     )
-    return by_system.selectExpr(*KEY, f"inline({cells})")
+    rows = by_system.selectExpr(*KEY, exact.BIN, f"inline({cells})")
+    return exact.added_up(rows, GRAIN_KEY, "revenue", [c for c in ("any_purchases", "purchases") if c in rows.columns])
 
 
 SESSION_KINDS = {"active_users": BY_USER, "session_rows": BY_USER, "sessions": BY_ID}

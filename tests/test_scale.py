@@ -159,4 +159,4 @@ def test_only_the_wanted_distinct_count_is_planned(inputs):
     assert "Expand" not in plan
     assert "yyyyMMddHH" not in plan  # the session id is not built
     everything = plan_of(metric_values(*inputs, I.DAYS, ["active_users", "number_sessions", "sessions_per_user"]))
-    assert "Expand" not in everything and everything.count("FileScan") == 2
+    assert "Expand" not in everything and everything.count("FileScan") == 1
