@@ -17,7 +17,7 @@ from spendlens.llm.decontamination import find_benchmark  # noqa: E402
 from spendlens.llm.mixing import mix_sources  # noqa: E402
 from spendlens.llm.neardup import near_duplicates  # noqa: E402
 from spendlens.llm.queries import labelled_sample, table  # noqa: E402
-from spendlens.llm.suffixes import kept_text, remove_repeats  # noqa: E402
+from spendlens.llm.suffixes import text_without_repeats  # noqa: E402
 from spendlens.llm.toxicity import fit_severity, score_severity  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -51,7 +51,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of strings of 200 that also start elsewhere; n_chars is
     counted anew. A character that a cut divides goes as a whole. Null texts become empty."""
     table(spark, sf_dir, "documents")
-    cut = kept_text(remove_repeats(docs))
+    cut = text_without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

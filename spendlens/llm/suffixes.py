@@ -384,8 +384,21 @@ def remove_repeats(documents: DataFrame, length: int = 200, gram: int = 64) -> D
     repeated string go. A null text counts as the empty one, repeated rows as copies. Other columns
     pass through, but for the text; columns of the four names are replaced. `gram` only decides how suffixes are
     dealt to tasks."""
-    made = ("kept", "n_bytes", "n_removed", "n_spans")
-    row = packed_columns(documents, (*made, "text"))
+    return _without_repeats(documents, length, gram, decoded=False)
+
+
+def text_without_repeats(documents: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
+    """`kept_text(remove_repeats(...))` in one pass over the rows: a second one in the same stage would
+    hold a second Python worker per core, and an idle worker keeps its memory."""
+    return _without_repeats(documents, length, gram, decoded=True)
+
+
+_MADE = ("kept", "n_bytes", "n_removed", "n_spans")
+
+
+def _without_repeats(documents: DataFrame, length: int, gram: int, decoded: bool) -> DataFrame:
+    """The rows with what is left of their texts: as bytes, with the counts, or decoded as text."""
+    row = packed_columns(documents, (*_MADE, "text"))
     keyed = _keyed(documents.select(row, "doc_id", F.coalesce("text", F.lit("")).alias("text")))
     spans = repeated_spans(keyed, length, gram)
     joined = _packed(keyed).hint("merge").join(spans, ["_id", "_hash"], "left")
@@ -410,24 +423,32 @@ def remove_repeats(documents: DataFrame, length: int = 200, gram: int = 64) -> D
                 parts.append(text[max(at, 0) :])
                 kept.append(b"".join(parts))
                 counts.append((len(text), removed, runs))
+            if decoded:
+                yield pa.RecordBatch.from_arrays([batch.column("_row"), _decoded(kept)], ["_row", "text"])
+                continue
             sums = np.array(counts, np.int64).reshape(-1, 3).T
             columns = [batch.column("_row"), pa.array(kept, pa.binary()), *map(pa.array, sums)]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", *made])
+            yield pa.RecordBatch.from_arrays(columns, ["_row", *_MADE])
 
     rows = joined.select("_row", "text", "spans")
-    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long"
-    return rows.mapInArrow(finish, schema).select("_row.*", *made)
+    made = "text string" if decoded else "kept binary, n_bytes long, n_removed long, n_spans long"
+    schema = f"_row {rows.schema['_row'].dataType.simpleString()}, {made}"
+    return rows.mapInArrow(finish, schema).select("_row.*", *(["text"] if decoded else _MADE))
+
+
+def _decoded(texts: list[bytes]) -> pa.Array:
+    return pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string())
 
 
 def kept_text(cut: DataFrame) -> DataFrame:
     """The rows of remove_repeats with text string in place of kept and the counts. Bytes of
     characters that a cut divides are left out."""
-    names = [c for c in cut.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans", "text")]
+    names = [c for c in cut.columns if c not in (*_MADE, "text")]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.decode("utf-8", "ignore") for t in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, "text"])
+            texts = _decoded(batch.column("kept").to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), texts], [*names, "text"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in cut.select(*names).schema)
     return cut.select(*names, "kept").mapInArrow(decode, f"{fields}text string")

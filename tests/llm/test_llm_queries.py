@@ -12,6 +12,7 @@ import corpus_pipeline
 from spendlens.checks.compare import difference, duckdb_tables
 from spendlens.llm.common import stored
 from spendlens.llm.queries import ORACLES, QUERIES
+from spendlens.llm.suffixes import kept_text, remove_repeats, text_without_repeats
 
 
 @pytest.fixture(scope="module")
@@ -132,3 +133,33 @@ def test_mixing_sql_on_sources_of_unequal_size(llm, tmp_path):
     found, expected = (f[columns].sort_values("doc_id").reset_index(drop=True) for f in (found, expected))
     for c in columns:
         assert (found[c] == expected[c]).all(), c
+
+
+def _chained(node, above=False):
+    """Whether a stage of the plan passes rows from one Python worker to another."""
+    name = node.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return _chained(node.executedPlan())
+    here = "MapInArrow" in name
+    if here and above:
+        return True
+    below = node.children()
+    return any(_chained(below.apply(k), "Exchange" not in name and (here or above)) for k in range(below.size()))
+
+
+def test_pipeline_stages_hold_one_python_worker_per_core(llm):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet").limit(50)
+    twice = docs.mapInArrow(lambda b: b, docs.schema).mapInArrow(lambda b: b, docs.schema)
+    assert _chained(twice._jdf.queryExecution().executedPlan())
+    for name, stage in corpus_pipeline.STAGES:
+        assert not _chained(stage(llm, docs, SMALL)._jdf.queryExecution().executedPlan()), name
+
+
+def test_text_without_repeats(llm, words):
+    passage = "é" * 60 + words(1, 90) + "ü" * 60
+    rows = [(i, words(10 + i, 30) + "ü" + passage[i : 500 - i] + " " + words(40 + i, 30)) for i in range(6)]
+    rows += [(20, None), (21, ""), (22, "é" * 300), (23, words(3, 80)), (23, words(3, 80)), (None, words(5, 80))]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("x"))
+    expected = kept_text(remove_repeats(docs))
+    found = text_without_repeats(docs)
+    assert found.columns == expected.columns and Counter(found.collect()) == Counter(expected.collect())
